@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam
+from . import decontam, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": decontam.op1_decontaminate}
+    return {
+        "op1_decontaminate": decontam.op1_decontaminate,
+        "op2_toxicity": toxicity.op2_toxicity,
+        "op3_quality_rules": quality.op3_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
