@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, quality, toxicity
+from . import decontam, mixing, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": decontam.op1_decontaminate,
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_quality_rules": quality.op3_quality_rules,
+        "op4_pareto_mix": mixing.op4_pareto_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": decontam.OP1_SQL}
+    return {"op1_decontaminate": decontam.OP1_SQL, "op4_pareto_mix": mixing.OP4_SQL}
