@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, mixing, quality, toxicity
+from . import chat, decontam, mixing, quality, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,8 +15,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": toxicity.op2_toxicity,
         "op3_quality_rules": quality.op3_quality_rules,
         "op4_pareto_mix": mixing.op4_pareto_mix,
+        "op5_warc_revisits": warc.op5_warc_revisits,
+        "op9_chat_format": chat.op9_chat_format,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": decontam.OP1_SQL, "op4_pareto_mix": mixing.OP4_SQL}
+    return {"op1_decontaminate": decontam.OP1_SQL, "op4_pareto_mix": mixing.OP4_SQL, "op5_warc_revisits": warc.OP5_SQL, "op9_chat_format": chat.OP9_SQL}
