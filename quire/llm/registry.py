@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, mixing, quality, toxicity, warc
+from . import chat, decontam, mixing, pii, quality, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pareto_mix": mixing.op4_pareto_mix,
         "op5_warc_revisits": warc.op5_warc_revisits,
         "op9_chat_format": chat.op9_chat_format,
+        "op10_pii": pii.op10_pii,
     }
 
 
