@@ -39,7 +39,7 @@ def settle(df: DataFrame, name: str, free: bool = True) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the size of df, for choosing numbers of buckets; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def buckets_for(df: DataFrame, each: int = 12 << 20, least: int = 4, most: int = 1 << 20) -> int:
