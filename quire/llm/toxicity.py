@@ -23,8 +23,9 @@ from . import textkit as tk
 
 MAX_POSITIVE = 5_000
 MAX_UNLABELLED = 15_000
-MAX_FEATURES = 4_000
+MAX_FEATURES = 1_000
 BITS = 22  # features are hashed to this many bits
+SHARPNESS = 2.0  # of the scores about the threshold
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
 
 
@@ -98,13 +99,13 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, seed: int, steps: int = 600, rate: float = 0.05, decay: float = 1e-5, batch: int = 2048) -> tuple[np.ndarray, float]:
+def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, seed: int, steps: int = 600, rate: float = 0.05, decay: float = 1e-5, batch: int = 1024) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier by the non-negative PU risk with logistic loss (Adam; deterministic for a seed).
 
     Where the corrected negative risk of a batch falls below zero, the step ascends it instead, as Kiryo et al. (2017) propose.
     """
     rng = np.random.Generator(np.random.PCG64(seed))
-    w, m, v = (np.zeros(xp.shape[1] + 1) for _ in range(3))
+    w, m, v = (np.zeros(xp.shape[1] + 1, np.float32) for _ in range(3))
     xp, xu = (np.hstack([x, np.ones((len(x), 1), x.dtype)]) for x in (xp, xu))
     for t in range(1, steps + 1):
         p, u = (x[rng.integers(0, len(x), min(len(x), batch))] for x in (xp, xu))
@@ -114,11 +115,12 @@ def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, seed: int, steps: i
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         g_neg = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
         g = -prior * (p.T @ (1 - sp)) / len(p) + g_neg if negative >= 0 else -g_neg
-        g[:-1] += decay * w[:-1]
+        g = g.astype(np.float32)
+        g[:-1] += np.float32(decay) * w[:-1]
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w[:-1], float(w[-1])
+        w = w - np.float32(rate / (1 - 0.9**t)) * m / (np.sqrt(v / np.float32(1 - 0.999**t)) + np.float32(1e-8))
+    return w[:-1].astype(np.float64), float(w[-1])
 
 
 def fit_arrays(p_lists: list[np.ndarray], u_lists: list[np.ndarray], n_features: int, seeds: tuple[int, ...] = (1, 2, 3)) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -150,7 +152,13 @@ def fit_arrays(p_lists: list[np.ndarray], u_lists: list[np.ndarray], n_features:
             prior = min(prior, (eu + 1 / np.sqrt(nu) / 4) / ep)
     prior = float(np.clip(prior, 0.005, 0.5))
     fits = [train_nnpu(xp, xu, prior, s) for s in seeds] if len(chosen) else [(np.zeros(0), -2.0)]
-    return chosen, np.array([w for w, _ in fits]), np.array([b for _, b in fits]), prior
+    w, b = np.array([w for w, _ in fits]), np.array([b for _, b in fits])
+    if len(chosen):
+        # the decision threshold, a score of 0.7: almost all confirmed positives lie above it, and no larger share of the unlabelled texts than the prior
+        for k in range(len(b)):
+            cut = max(np.quantile(xp @ w[k] + b[k], 0.02), np.quantile(xu @ w[k] + b[k], 1 - 0.9 * prior))
+            w[k], b[k] = SHARPNESS * w[k], SHARPNESS * (b[k] - cut) + np.log(0.7 / 0.3)
+    return chosen, w, b, prior
 
 
 def fold(id_col: str = "doc_id") -> Column:
