@@ -6,7 +6,8 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,3 +46,15 @@ def input_bytes(df: DataFrame) -> int:
 def buckets_for(df: DataFrame, each: int = 12 << 20, least: int = 4, most: int = 1 << 20) -> int:
     """A number of shuffle buckets in proportion to the input."""
     return max(least, min(most, -(-input_bytes(df) // each)))
+
+
+def keyed_docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, key: rows that agree in id and text share a key."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    d = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    return d.withColumn("key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+
+
+def part_of(parts: int) -> Column:
+    """key as an unsigned number modulo parts."""
+    return ((F.shiftrightunsigned("key", 1) % parts * 2 + F.col("key").bitwiseAND(1)) % parts).cast("int")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .cluster import buckets_for, settle
+from .cluster import buckets_for, keyed_docs, part_of, settle
 
 LENGTH = 50
 GRAM = 20
@@ -184,13 +184,6 @@ def anchors(p: tk.Piece, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
     return at, h[at], doc
 
 
-def _docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text, key: rows that agree in id and text share a key."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    d = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    return d.withColumn("key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
-
-
 def _least_per_group(h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each entry the smallest id among entries of equal hash."""
     order, heads = tk.group_ids(h)
@@ -357,12 +350,7 @@ def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int) -> DataFr
                     rows.append(dict(bucket=int(x), keys=key[m].tobytes(), ids=ids[m].tobytes(), a=a[m].tobytes(), n=k.astype("u1").tobytes(), gram=gram[m].tobytes(), bytes=p.buf[pos].tobytes()))
         return pa.Table.from_batches([_batch(rows, _CONTEXT)])
 
-    return d.withColumn("part", _part(parts)).groupBy("part").cogroup(decided.where("kind = 3").groupBy("part")).applyInArrow(run, CONTEXT)
-
-
-def _part(parts: int):
-    """key as an unsigned number modulo parts."""
-    return ((F.shiftrightunsigned("key", 1) % parts * 2 + F.col("key").bitwiseAND(1)) % parts).cast("int")
+    return d.withColumn("part", part_of(parts)).groupBy("part").cogroup(decided.where("kind = 3").groupBy("part")).applyInArrow(run, CONTEXT)
 
 
 def _compare(contexts: DataFrame, parts: int, length: int) -> DataFrame:
@@ -435,7 +423,7 @@ def _cut_out(d: DataFrame, spans: DataFrame, parts: int, texts_too: bool) -> Dat
         names = ["doc_id", "key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
         return pa.table({n: pa.array(c, t) for n, c, t in list(zip(names, cols, types))[: 7 if texts_too else 6]})
 
-    return d.withColumn("part", _part(parts)).groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, schema)
+    return d.withColumn("part", part_of(parts)).groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, schema)
 
 
 def hot_anchors(d: DataFrame, length: int, gram: int, sample: int = HOT_SAMPLE, share: float = HOT_SHARE) -> np.ndarray:
@@ -466,7 +454,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length > 200 or not 8 <= gram <= length:
         raise ValueError("8 <= gram <= length <= 200")
-    d = _docs(docs, id_col, text_col)
+    d = keyed_docs(docs, id_col, text_col)
     parts, buckets = buckets_for(docs, 4 << 20), buckets_for(docs, 4 << 20)
     hot = hot_anchors(d, length, gram)
     entries = settle(_emit(d, buckets, parts, length, gram, hot), "anchors")

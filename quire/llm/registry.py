@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, exact_dedup, mixing, pii, quality, toxicity, warc
+from . import chat, decontam, exact_dedup, mixing, near_dedup, pii, quality, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,10 +17,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pareto_mix": mixing.op4_pareto_mix,
         "op5_warc_revisits": warc.op5_warc_revisits,
         "op6_suffix_dedup": exact_dedup.op6_suffix_dedup,
+        "op7_signature_tree_join": near_dedup.op7_signature_tree_join,
         "op9_chat_format": chat.op9_chat_format,
         "op10_pii": pii.op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": decontam.OP1_SQL, "op4_pareto_mix": mixing.OP4_SQL, "op5_warc_revisits": warc.OP5_SQL, "op6_suffix_dedup": exact_dedup.OP6_SQL, "op9_chat_format": chat.OP9_SQL}
+    return {"op1_decontaminate": decontam.OP1_SQL, "op4_pareto_mix": mixing.OP4_SQL, "op5_warc_revisits": warc.OP5_SQL, "op6_suffix_dedup": exact_dedup.OP6_SQL, "op7_signature_tree_join": near_dedup.OP7_SQL, "op9_chat_format": chat.OP9_SQL}
