@@ -87,7 +87,7 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
     """key, shared: how many shingles of each row are in other classes too (never too few). Shingles travel as 4 bytes each, packed by bucket."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in tk.slices(b)):
             keys = np.asarray(batch.column("key")).astype(np.int64)
             got = []
             sig = []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, exact_dedup, mixing, near_dedup, pii, quality, toxicity, warc
+from . import chat, decontam, exact_dedup, mixing, near_dedup, pii, quality, suffix_lm, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_warc_revisits": warc.op5_warc_revisits,
         "op6_suffix_dedup": exact_dedup.op6_suffix_dedup,
         "op7_signature_tree_join": near_dedup.op7_signature_tree_join,
+        "op8_suffix_tree_lm": suffix_lm.op8_suffix_tree_lm,
         "op9_chat_format": chat.op9_chat_format,
         "op10_pii": pii.op10_pii,
     }

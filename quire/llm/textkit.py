@@ -130,6 +130,17 @@ def pieces(batch: pa.RecordBatch | pa.Table, id_col: str = "doc_id", text_col: s
         at = to
 
 
+def slices(batch: pa.RecordBatch, text_col: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about `size` bytes of text each, where the results of a whole batch would take too much memory."""
+    n = pc.fill_null(pc.binary_length(batch.column(text_col)), 0)
+    upto = np.concatenate(([0], np.cumsum(np.asarray(n), dtype=np.int64)))
+    at = 0
+    while at < batch.num_rows:
+        to = min(batch.num_rows, max(at + 1, int(np.searchsorted(upto, upto[at] + size, side="right")) - 1))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true."""
     edge = np.flatnonzero(mask[1:] != mask[:-1]) + 1
