@@ -235,7 +235,7 @@ def _emit(d: DataFrame, buckets: int, parts: int, length: int, gram: int, hot: n
     """Anchors by bucket (kind 0), stretches of hot anchors by bucket (kind 1), and intervals already known within the task (kind 2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (s for b in batches for s in tk.slices(b)):
             keys = np.asarray(batch.column("key")).astype(np.int64)
             ids = np.asarray(batch.column("doc_id").fill_null(LAST)).astype(np.int64)
             got: dict[int, list] = {0: [], 1: []}
@@ -261,7 +261,7 @@ def _emit(d: DataFrame, buckets: int, parts: int, length: int, gram: int, hot: n
                     continue
                 x, g, doc, a, b = (np.concatenate(v) for v in zip(*parts_))
                 known = _least_per_group(x, ids[doc]) < ids[doc]
-                rows = [dict(kind=2, bucket=-1, part=q, keys=k, a=s, b=e) for q, k, s, e in _span_rows(keys[doc[known]], a[known], b[known], parts)]
+                rows = [dict(kind=2, bucket=q % buckets, part=q, keys=k, a=s, b=e) for q, k, s, e in _span_rows(keys[doc[known]], a[known], b[known], parts)]
                 x, g, doc, a, b = (v[~known] for v in (x, g, doc, a, b))
                 at_bucket = ((g >> tk.U64(32)) % tk.U64(buckets)).astype(np.int64)
                 o = np.argsort(at_bucket, kind="stable")
@@ -282,13 +282,14 @@ _DECIDED = [x.split(" ") for x in DECIDED.split(", ")]
 
 
 def _decide(entries: DataFrame, parts: int) -> DataFrame:
-    """Per bucket: intervals found in smaller documents (kind 2), and the representatives of contexts that share an anchor (kind 3)."""
+    """Per bucket: intervals found in smaller documents, there or before (kind 2), and the representatives of contexts that share an anchor (kind 3)."""
 
     def run(t: pa.Table) -> pa.Table:
-        rows = []
+        sent = t.select([n for n, _ in _ENTRY]).to_pylist()
+        rows = [dict(kind=2, part=r["part"], keys=r["keys"], a=r["a"], b=r["b"]) for r in sent if r["kind"] == 2]
         for kind in (0, 1):
             cols = []
-            for r in t.to_pylist():
+            for r in sent:
                 if r["kind"] == kind:
                     doc = np.frombuffer(r["doc"], "u4")
                     cols.append((np.frombuffer(r["keys"], "i8")[doc], np.frombuffer(r["ids"], "i8")[doc], np.frombuffer(r["h"], "u8"), np.frombuffer(r["gram"], "u4"), np.frombuffer(r["a"], "u4"), np.frombuffer(r["b"], "u1")))
@@ -316,7 +317,7 @@ def _decide(entries: DataFrame, parts: int) -> DataFrame:
                     rows.append(dict(kind=3, part=int(x), keys=key[j].astype("i8").tobytes(), a=a[j].astype("u4").tobytes(), b=b[j].astype("u4").tobytes(), gram=gram[j].astype("u4").tobytes(), ids=ids[j].astype("i8").tobytes()))
         return pa.Table.from_batches([_batch(rows, _DECIDED)])
 
-    return entries.where("kind < 2").groupBy("bucket").applyInArrow(run, DECIDED)
+    return entries.groupBy("bucket").applyInArrow(run, DECIDED)
 
 
 CONTEXT = "bucket int, keys binary, ids binary, a binary, n binary, gram binary, bytes binary"
@@ -457,10 +458,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     d = keyed_docs(docs, id_col, text_col)
     parts, buckets = buckets_for(docs, 4 << 20), buckets_for(docs, 4 << 20)
     hot = hot_anchors(d, length, gram)
-    entries = settle(_emit(d, buckets, parts, length, gram, hot), "anchors")
-    decided = settle(_decide(entries, parts), "anchors-decided")
+    decided = settle(_decide(_emit(d, buckets, parts, length, gram, hot), parts), "anchors-decided")
     more = settle(_compare(_fetch(d, decided, parts, buckets), parts, length), "anchors-compared")
-    spans = entries.where("kind = 2").select("part", "keys", "a", "b").unionByName(decided.where("kind = 2").select("part", "keys", "a", "b")).unionByName(more)
+    spans = decided.where("kind = 2").select("part", "keys", "a", "b").unionByName(more)
     return _cut_out(d, spans, parts, texts_too).drop("key")
 
 
