@@ -1,8 +1,63 @@
-"""A corpus pipeline of five stages."""
+"""A corpus pipeline: five operators of quire.llm, each applied to all that the one before it kept.
 
-STAGES = []
-ORACLE_SQL = None
+Every stage takes and returns a table of documents; the last returns the documents of the mix with their numbers of copies.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quire.llm import decontam, mixing, near_dedup, pii, toxicity
+from quire.llm.cluster import shared_dir
+
+ORACLE_SQL = None  # classifiers and random fields are not for SQL; tests/llm compares the stages with brute force
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifiers reject go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels, toxicity.fold() != 1))
+
+
+def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return near_dedup.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of two or more benchmark items go."""
+    return decontam.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are replaced by the names of their kinds."""
+    clean = pii.redact(docs, pii.fit(docs))
+    return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns) if "n_chars" in docs.columns else clean
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of the mix, with copies: how often each is taken, and taken: the words that makes."""
+    return mixing.mix(docs, keep=("text", "lang", "source")).where("copies > 0")
+
+
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("near duplicates", near_duplicate_filter),
+    ("decontamination", decontamination),
+    ("pii", pii_redaction),
+    ("mixing", source_mix),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the documents of sf_dir, each written as Parquet to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    at = f"{shared_dir(spark)}/quire/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(f"{at}/{k}")
+        docs = spark.read.parquet(f"{at}/{k}")
+    return docs

@@ -241,6 +241,14 @@ def _merge_spans(lists: pd.Series) -> pd.Series:
     return lists.map(lambda x: [v for ab in _union([(int(s[i]), int(s[i + 1])) for s in x for i in range(0, len(s), 2)]) for v in ab])
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, that hold fewer than two items."""
+    key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    keyed = docs.withColumn("__key", key)
+    bad = settle(decontaminate(keyed, benchmark, "__key", text_col).where("contaminated").select(F.col("doc_id").alias("__key")).distinct(), "contaminated", free=False)
+    return keyed.join(bad, "__key", "left_anti").drop("__key")
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item, by exact phrases of 8 words."""
     docs, bench = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))

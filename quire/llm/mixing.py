@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textkit as tk
 from .cluster import settle
@@ -30,8 +31,8 @@ BROADCAST_ROWS = 200_000
 SALTS = 16
 
 
-def word_sizes(docs: DataFrame, text_col: str = "text", out: str = "size") -> DataFrame:
-    """docs without text_col but with the number of its words [^\\x20\\x09-\\x0D]+ as `out`; 0 for null. No shuffle."""
+def word_sizes(docs: DataFrame, text_col: str = "text", out: str = "size", keep_text: bool = False) -> DataFrame:
+    """docs, without text_col unless it is kept, with the number of its words [^\\x20\\x09-\\x0D]+ as `out`; 0 for null. No shuffle."""
     rest = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,12 +41,12 @@ def word_sizes(docs: DataFrame, text_col: str = "text", out: str = "size") -> Da
             b = pa.RecordBatch.from_arrays([batch.column(k)], ["text"]).append_column("id", pa.nulls(batch.num_rows))
             n = [np.diff(tk.words(p)[2]) for p in tk.pieces(b, "id", "text")]
             sizes = np.concatenate([np.zeros(0, np.int64), *n])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != k), pa.array(sizes.astype(np.int64))], schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if keep_text or i != k), pa.array(sizes.astype(np.int64))], schema.names)
 
     source = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)), F.col(f"`{text_col}`").cast("string").alias("__text"))
-    schema = source.drop("__text").schema.add("__size", "long")
+    schema = T.StructType([*(source if keep_text else source.drop("__text")).schema.fields, T.StructField("__size", T.LongType())])
     done = source.mapInArrow(run, schema)
-    return done.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(rest)), F.col("__size").alias(out))
+    return done.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(rest)), *([F.col("__text").alias(text_col)] if keep_text else []), F.col("__size").alias(out))
 
 
 def ranked(keys: DataFrame, col: str) -> DataFrame:
@@ -113,10 +114,10 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = (), id_col: str = "doc_id", tex
     Null texts have 0 words; null sources are a source of their own, sorted last; null ids draw the number of an empty id; repeated
     rows draw equal numbers and are interchangeable; an empty table gives an empty one. The same rows and seed give the same mix.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), *(F.col(c).alias(f"k_{c}") for c in keep), F.col(text_col).alias("__t"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), *(F.col(c).alias(f"k_{c}") for c in keep if c != text_col), F.col(text_col).alias("__t"))
     draw = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
     u = (F.conv(F.substring(draw, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
-    base = settle(word_sizes(slim, "__t").withColumn("u", u).withColumn("cls", class_of(F.col("size"))), "mix-sizes")
+    base = settle(word_sizes(slim, "__t", keep_text=text_col in keep).withColumn("u", u).withColumn("cls", class_of(F.col("size"))), "mix-sizes")
     by_class = settle(base.groupBy("source", "cls").agg(F.sum("size").alias("words")), "mix-classes", free=False)
     goal = targets(by_class.groupBy("source").agg(F.sum("words").alias("source_size")))
     # copies per class: the longest classes that reach the most copies are held there, the others share the rest by weight
@@ -151,7 +152,7 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = (), id_col: str = "doc_id", tex
     last = last.withColumn("extra", (F.col("cum") + F.col("size") / 2.0 <= F.col("rest")).cast("int")).drop("cum")
     out = rows.unionByName(last)
     copies = (F.coalesce(F.col("whole"), F.lit(0)) + F.col("extra")).cast("long")
-    return out.select("doc_id", F.col("size").cast("long").alias("size"), F.col("source_size").cast("long").alias("source_size"), "target", (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies"), *(F.col(f"k_{c}").alias(c) for c in keep))
+    return out.select("doc_id", F.col("size").cast("long").alias("size"), F.col("source_size").cast("long").alias("source_size"), "target", (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies"), *(F.col("__t" if c == text_col else f"k_{c}").alias(c) for c in keep))
 
 
 def _cut(d: DataFrame, keys: list[str], bin_col: str, before: Column) -> DataFrame:

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -338,7 +338,7 @@ def _compare(work: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
-    """A row for each row of docs: doc_id, n_shingles, n_similar (other rows linked directly), component_id (smallest id reachable).
+    """A row for each row of docs: doc_id, n_shingles, n_similar (other rows linked directly), component_id (smallest id reachable), key (of the row) and first_key (of the row with that id).
 
     Two rows are linked when the Jaccard similarity of their sets of k-word shingles is at least 0.8. Null and empty texts have empty
     sets and are linked with nothing; null ids are only reported where a component has no other; repeated rows are rows of their own
@@ -348,7 +348,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts, buckets = buckets_for(docs, 6 << 20), buckets_for(docs, 8 << 20)
     sets = settle(shingle_sets(d, k), "shingle-sets", free=False)
     whole = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    classes = settle(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.count(F.lit(1)).alias("members"), F.min(whole).alias("first")).select("n", "s1", "s2", "members", F.col("first.key").alias("key"), F.col("first.doc_id").alias("first_id")), "classes", free=False)
+    classes = settle(sets.where("n > 0").groupBy("n", "s1", "s2").agg(F.count(F.lit(1)).alias("members"), F.min(whole).alias("first")).select("n", "s1", "s2", "members", F.col("first.key").alias("key"), "first"), "classes", free=False)
     shared = settle(shared_counts(d, k, buckets, parts), "shared")
     # a class is judged by any of its rows that was counted
     judged = sets.where("n > 0").join(shared, "key").where(F.col("shared") * DEN >= F.col("n") * NUM).select("n", "s1", "s2").distinct()
@@ -379,12 +379,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     compared = settle(_compare(work), "links")
     counts = compared.where("other IS NULL").groupBy("key").agg(F.sum("links").alias("links"))
     joined = components(wanted.select(F.col("key").alias("v")), compared.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")))
-    tops = classes.join(joined.withColumnRenamed("v", "key"), "key").select("key", "label", "first_id")
-    least = tops.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    info = tops.join(least, "label").select("key", "component_id").join(counts, "key", "left")
-    known = classes.join(info, "key", "left").select("n", "s1", "s2", "members", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    tops = classes.join(joined.withColumnRenamed("v", "key"), "key").select("key", "label", "first")
+    least = tops.groupBy("label").agg(F.min("first").alias("component"))
+    info = tops.join(least, "label").select("key", "component").join(counts, "key", "left")
+    known = classes.join(info, "key", "left").select("n", "s1", "s2", "members", F.coalesce("component", "first").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
     out = _by_class(sets, known)
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("members") - 1 + F.col("links")).otherwise(0).cast("long").alias("n_similar"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    full = F.col("n") > 0
+    return out.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(full, F.col("members") - 1 + F.col("links")).otherwise(0).cast("long").alias("n_similar"), F.when(full, F.col("component.doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "key", F.when(full, F.col("component.key")).otherwise(F.col("key")).alias("first_key"),
+    )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, that have the smallest id of their component (nulls last); of rows that repeat one another in id and text one stays, unless they have no words."""
+    groups = near_duplicates(docs, id_col, text_col)
+    keep = settle(groups.where("key = first_key").select(F.col("key").alias("__key"), (F.col("n_shingles") > 0).alias("__one")).distinct(), "kept", free=False)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    i = F.col(id_col).cast("long")
+    joined = docs.withColumn("__key", F.xxhash64(i.isNull(), i, text)).join(keep, "__key")
+    first = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    return joined.withColumn("__n", first).where(~F.col("__one") | (F.col("__n") == 1)).drop("__key", "__one", "__n")
 
 
 SALTS = 16
@@ -403,7 +417,7 @@ def _by_class(sets: DataFrame, known: DataFrame) -> DataFrame:
 
 def op7_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, by 5-word shingles."""
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("key", "first_key")
 
 
 OP7_SQL = r"""

@@ -223,6 +223,30 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     return out.select(F.col("__id").alias("doc_id"), F.col("__score").alias("score"), *(F.col(f"__k_{c}").alias(c) for c in keep or []))
 
 
+def without_toxic(docs: DataFrame, model: Model | None, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns as they are, whose score is below threshold. Without a model all stay."""
+    if model is None:
+        return docs
+    slot = np.full(1 << BITS, -1, np.int32)
+    slot[model.features] = np.arange(len(model.features))
+    some, w, b = slot >= 0, model.weights.T.copy(), model.bias
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows), batch.column(at)], ["id", "text"])
+            keep = [np.zeros(0, bool)]
+            for p in tk.pieces(texts, "id", "text"):
+                f, d = _features(p)
+                k = some[f]
+                f, d = _distinct(slot[f[k]].astype(np.int64), d[k])
+                z = np.stack([np.bincount(d, w[f, i], minlength=len(p.start)) + b[i] for i in range(len(b))])
+                keep.append(_sigmoid(z).mean(axis=0) < threshold)
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, scored by a model that never saw a third of the ids."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
