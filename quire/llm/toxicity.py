@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 
 MAX_POSITIVE = 5_000
-MAX_UNLABELLED = 15_000
-MAX_FEATURES = 1_000
+MAX_UNLABELLED = 12_000
+MAX_FEATURES = 600
 BITS = 22  # features are hashed to this many bits
 SHARPNESS = 2.0  # of the scores about the threshold
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
@@ -100,13 +100,12 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, seed: int, steps: int = 600, rate: float = 0.05, decay: float = 1e-5, batch: int = 1024) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear classifier by the non-negative PU risk with logistic loss (Adam; deterministic for a seed).
+    """Weights and bias (that of the last column, which holds ones) of a linear classifier by the non-negative PU risk with logistic loss (Adam; deterministic for a seed).
 
     Where the corrected negative risk of a batch falls below zero, the step ascends it instead, as Kiryo et al. (2017) propose.
     """
     rng = np.random.Generator(np.random.PCG64(seed))
-    w, m, v = (np.zeros(xp.shape[1] + 1, np.float32) for _ in range(3))
-    xp, xu = (np.hstack([x, np.ones((len(x), 1), x.dtype)]) for x in (xp, xu))
+    w, m, v = (np.zeros(xp.shape[1], np.float32) for _ in range(3))
     for t in range(1, steps + 1):
         p, u = (x[rng.integers(0, len(x), min(len(x), batch))] for x in (xp, xu))
         zp, zu = p @ w, u @ w
@@ -126,7 +125,7 @@ def train_nnpu(xp: np.ndarray, xu: np.ndarray, prior: float, seed: int, steps: i
 def fit_arrays(p_lists: list[np.ndarray], u_lists: list[np.ndarray], n_features: int, seeds: tuple[int, ...] = (1, 2, 3)) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Chosen features, weights, biases and prior from the feature indexes of positive and unlabelled texts."""
     np_, nu = len(p_lists), len(u_lists)
-    dp, du = (np.bincount(np.concatenate([np.zeros(0, np.int64), *x]), minlength=n_features).astype(float) for x in (p_lists, u_lists))
+    dp, du = (np.bincount(np.concatenate([np.zeros(0, np.int32), *x]), minlength=n_features).astype(float) for x in (p_lists, u_lists))
     rp, ru = dp / np_, (du + 0.5) / (nu + 1)
     # one-sided bound of the log ratio of rates; features typical of positives only
     bound = np.log(np.maximum(rp, 1e-12) / ru) - 1.64 * np.sqrt(1 / np.maximum(dp, 1) + 1 / np.maximum(du, 1))
@@ -136,7 +135,8 @@ def fit_arrays(p_lists: list[np.ndarray], u_lists: list[np.ndarray], n_features:
     slot[chosen] = np.arange(len(chosen))
 
     def dense(lists: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(lists), len(chosen)), np.float32)
+        x = np.zeros((len(lists), len(chosen) + 1), np.float32)
+        x[:, -1] = 1
         for i, f in enumerate(lists):
             s = slot[f]
             x[i, s[s >= 0]] = 1
@@ -147,7 +147,7 @@ def fit_arrays(p_lists: list[np.ndarray], u_lists: list[np.ndarray], n_features:
     strong = np.argsort(-(bound * np.sqrt(dp))[chosen], kind="stable")[:400]
     prior = 0.5
     for k in range(1, len(strong) + 1, 5):
-        ep, eu = (x[:, strong[:k]].any(axis=1).mean() for x in (xp, xu))
+        ep, eu = ((x[:, strong[:k]] > 0).any(axis=1).mean() for x in (xp, xu))
         if ep > 0.05:
             prior = min(prior, (eu + 1 / np.sqrt(nu) / 4) / ep)
     prior = float(np.clip(prior, 0.005, 0.5))
@@ -156,7 +156,7 @@ def fit_arrays(p_lists: list[np.ndarray], u_lists: list[np.ndarray], n_features:
     if len(chosen):
         # the decision threshold, a score of 0.7: almost all confirmed positives lie above it, and no larger share of the unlabelled texts than the prior
         for k in range(len(b)):
-            cut = max(np.quantile(xp @ w[k] + b[k], 0.02), np.quantile(xu @ w[k] + b[k], 1 - 0.9 * prior))
+            cut = max(np.quantile(xp[:, :-1] @ w[k] + b[k], 0.02), np.quantile(xu[:, :-1] @ w[k] + b[k], 1 - 0.9 * prior))
             w[k], b[k] = SHARPNESS * w[k], SHARPNESS * (b[k] - cut) + np.log(0.7 / 0.3)
     return chosen, w, b, prior
 
@@ -180,15 +180,19 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_pos
     sample = few.withColumn("positive", F.lit(True)).unionByName(some.withColumn("positive", F.lit(False)))
     # at most max_positive + max_unlabelled ids: bounded, so it may be broadcast
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").where("text IS NOT NULL")
-    counts = _document_counts(rows.where("positive")).where("n >= 5").toPandas()
+    least = max(5, few.count() // 250)
+    counts = _document_counts(rows.where("positive")).where(F.col("n") >= least).select("feature").toPandas()
     candidates = np.sort(counts["feature"].to_numpy(np.int64))
+    del counts
     if not len(candidates):
         return None
     found = _occurrences(rows, candidates).toPandas()
     found = found.sort_values(["doc_id", "positive", "found"])
-    lists = [np.frombuffer(x, "i4").astype(np.int64) for x in found["found"]]
+    lists = [np.frombuffer(x, "i4") for x in found["found"]]
     is_p = found["positive"].to_numpy(bool)
+    del found
     p, u = [x for x, y in zip(lists, is_p) if y], [x for x, y in zip(lists, is_p) if not y]
+    del lists
     if not p or not u:
         return None
     chosen, w, b, prior = fit_arrays(p, u, len(candidates))
