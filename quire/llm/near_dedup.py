@@ -307,30 +307,63 @@ def _forest(n: int, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
     return [(i, int(r)) for i, r in enumerate(label.tolist()) if i != r]
 
 
+PACKED = "cluster long, block long, keys binary, members binary, pivot binary, gone binary, n_gone binary, extra binary, n_extra binary"
+_PACKED = [x.split(" ") for x in PACKED.split(", ")]
+
+
+def _pack(t: pa.Table) -> pa.Table:
+    """Blocks as one row each. Sets are written as their difference from the block's first, of which near duplicates have little."""
+    c, b, n, k, m = (np.asarray(t.column(x).combine_chunks()) for x in ("cluster", "block", "n", "key", "members"))
+    hashes = t.column("hashes")
+    order = np.lexsort((k, n, b, c))
+    heads = np.flatnonzero(np.concatenate(([True], (c[order][1:] != c[order][:-1]) | (b[order][1:] != b[order][:-1]))))
+    out = []
+    for i, j in zip(heads, np.append(heads[1:], len(order))):
+        at = order[i:j]
+        pivot = np.frombuffer(hashes[int(at[0])].as_py(), "u8")
+        gone, extra = [], []
+        for x in at.tolist():
+            s = np.frombuffer(hashes[x].as_py(), "u8")
+            p = np.minimum(np.searchsorted(pivot, s), len(pivot) - 1)
+            inside = pivot[p] == s
+            missing = np.ones(len(pivot), bool)
+            missing[p[inside]] = False
+            gone.append(np.flatnonzero(missing).astype("u4"))
+            extra.append(s[~inside])
+        size = lambda v: np.array([len(x) for x in v], "u4").tobytes()
+        out.append((int(c[at[0]]), int(b[at[0]]), k[at].astype("i8").tobytes(), m[at].astype("i8").tobytes(), pivot.tobytes(), np.concatenate(gone).tobytes(), size(gone), np.concatenate(extra).tobytes(), size(extra)))
+    return pa.table({f: pa.array(v, pa.int64() if kind == "long" else pa.binary()) for v, (f, kind) in zip(zip(*out), _PACKED)})
+
+
+def _unpack(r: dict) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(keys, members, sets) of a packed block."""
+    of = lambda k, d: np.frombuffer(r[k], d)
+    pivot, gone, extra = of("pivot", "u8"), np.split(of("gone", "u4"), np.cumsum(of("n_gone", "u4"))[:-1]), np.split(of("extra", "u8"), np.cumsum(of("n_extra", "u4"))[:-1])
+    return of("keys", "i8"), of("members", "i8"), [np.concatenate((np.delete(pivot, g), e)) for g, e in zip(gone, extra)]
+
+
 def _compare(work: DataFrame) -> DataFrame:
     """Links of each pair of blocks: rows (key, other, links): with other null, how many documents key is linked with; else an edge."""
 
     def run(t: pa.Table) -> pa.Table:
         out: list[tuple] = []
-        rows = t.select(["cluster", "i", "j", "side", "n", "key", "members", "hashes"]).to_pylist()
-        rows.sort(key=lambda r: (r["cluster"], r["i"], r["j"], r["side"], r["n"], r["key"]))
-        at = 0
-        while at < len(rows):
-            to = at
-            name = lambda r: (r["cluster"], r["i"], r["j"])
-            while to < len(rows) and name(rows[to]) == name(rows[at]):
-                to += 1
-            g = rows[at:to]
-            at = to
-            split = sum(r["side"] == 0 for r in g) if g[0]["i"] != g[0]["j"] else None
-            size = np.array([r["n"] for r in g])
-            x, y = links(bitmaps([np.frombuffer(r["hashes"], "u8") for r in g]), size, split)
-            m = np.array([r["members"] for r in g], np.int64)
-            n = np.zeros(len(g), np.int64)
+        names = [t.column(c).to_pylist() for c in ("cluster", "i", "j", "side")]
+        order = sorted(range(t.num_rows), key=lambda r: tuple(n[r] for n in names))
+        while order:
+            first = order.pop(0)
+            one = _unpack(t.slice(first, 1).to_pylist()[0])
+            split = None
+            if names[1][first] != names[2][first]:
+                two = _unpack(t.slice(order.pop(0), 1).to_pylist()[0])
+                split = len(one[0])
+                one = np.concatenate((one[0], two[0])), np.concatenate((one[1], two[1])), one[2] + two[2]
+            key, m, sets = one
+            x, y = links(bitmaps(sets), np.array([len(s) for s in sets]), split)
+            n = np.zeros(len(key), np.int64)
             np.add.at(n, x, m[y])
             np.add.at(n, y, m[x])
-            out += [(g[i]["key"], None, int(n[i])) for i in np.flatnonzero(n)]
-            out += [(g[i]["key"], g[r]["key"], 0) for i, r in _forest(len(g), x, y)]
+            out += [(int(key[i]), None, int(n[i])) for i in np.flatnonzero(n)]
+            out += [(int(key[i]), int(key[r]), 0) for i, r in _forest(len(key), x, y)]
         cols = list(zip(*out)) if out else [(), (), ()]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("key", "other", "links"), cols)})
 
@@ -373,9 +406,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = i.join(j, "cluster").where((F.col("i") <= F.col("j")) & (F.col("i_high") * DEN >= F.col("j_low") * NUM)).select("cluster", "i", "j")
     pairs = settle(pairs, "block-pairs", free=False)
     sides = pairs.select("cluster", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(pairs.where("i <> j").select("cluster", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
-    work = placed.join(sides, ["cluster", "block"]).join(found.select("key", "hashes"), "key")
-    # small clusters share tasks; a pair of blocks is never split
-    work = work.withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(max(4, buckets)))).select("task", "cluster", "i", "j", "side", "n", "key", "members", "hashes")
+    # small clusters share tasks; a block, and a pair of blocks, is never split
+    tasks = max(8, 4 * buckets)
+    loaded = placed.join(found.select("key", "hashes"), "key").withColumn("task", F.pmod(F.xxhash64("cluster", "block"), F.lit(tasks)))
+    packed = settle(loaded.groupBy("task").applyInArrow(_pack, PACKED), "packed", free=False)
+    work = packed.join(sides, ["cluster", "block"]).withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)))
     compared = settle(_compare(work), "links")
     counts = compared.where("other IS NULL").groupBy("key").agg(F.sum("links").alias("links"))
     joined = components(wanted.select(F.col("key").alias("v")), compared.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")))
