@@ -26,7 +26,7 @@ def settle(df: DataFrame, name: str, free: bool = True) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)

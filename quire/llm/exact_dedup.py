@@ -270,7 +270,7 @@ def _emit(d: DataFrame, buckets: int, parts: int, length: int, gram: int, hot: n
                     i = o[edge[q] : edge[q + 1]]
                     if len(i):
                         u, inv = np.unique(doc[i], return_inverse=True)
-                        rows.append(dict(kind=kind, bucket=q, part=-1, keys=keys[u].astype("i8").tobytes(), ids=ids[u].astype("i8").tobytes(), doc=inv.astype("u4").tobytes(), h=x[i].tobytes(), gram=g[i].astype("u4").tobytes(), a=a[i].astype("u4").tobytes(), b=(b[i] - a[i]).astype("u1").tobytes()))
+                        rows.append(dict(kind=kind, bucket=q, part=-1, keys=keys[u].astype("i8").tobytes(), ids=ids[u].astype("i8").tobytes(), doc=tk.squeeze(inv), h=x[i].tobytes(), gram=g[i].astype("u4").tobytes(), a=tk.squeeze(a[i]), b=(b[i] - a[i]).astype("u1").tobytes()))
                 if rows:
                     yield _batch(rows, _ENTRY)
 
@@ -291,12 +291,11 @@ def _decide(entries: DataFrame, parts: int) -> DataFrame:
             cols = []
             for r in sent:
                 if r["kind"] == kind:
-                    doc = np.frombuffer(r["doc"], "u4")
-                    cols.append((np.frombuffer(r["keys"], "i8")[doc], np.frombuffer(r["ids"], "i8")[doc], np.frombuffer(r["h"], "u8"), np.frombuffer(r["gram"], "u4"), np.frombuffer(r["a"], "u4"), np.frombuffer(r["b"], "u1")))
+                    doc = tk.unsqueeze(r["doc"])
+                    cols.append((np.frombuffer(r["keys"], "i8")[doc], np.frombuffer(r["ids"], "i8")[doc], np.frombuffer(r["h"], "u8"), np.frombuffer(r["gram"], "u4"), tk.unsqueeze(r["a"]), np.frombuffer(r["b"], "u1")))
             if not cols:
                 continue
             key, ids, h, gram, a, b = (np.concatenate(c) for c in zip(*cols))
-            a = a.astype(np.int64)
             b = a + b
             least = _least_per_group(h, ids)
             known = least < ids

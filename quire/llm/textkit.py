@@ -180,3 +180,14 @@ def group_ids(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     s = keys[order]
     return order, np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.zeros(0, np.int64)
+
+
+def squeeze(x: np.ndarray) -> bytes:
+    """Numbers below 2**32, byte planes apart, compressed."""
+    raw = x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unsqueeze(b: bytes) -> np.ndarray:
+    raw = pa.decompress(b[8:], int.from_bytes(b[:8], "little"), "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
