@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import lines, strip, unlines
+from .text import let, lines, strip, unlines
 
 OPENS = r"\A[ \t]{0,3}`{3,}[^`]*\z"
 CLOSES = r"\A[ \t]{0,3}`{3,}[ \t]*\z"
@@ -25,14 +25,10 @@ def fence_spans(ls: Column) -> Column:
     marks = F.filter(
         F.transform(ls, lambda l, i: F.struct(i.alias("i"), F.when(l.rlike(OPENS), ticks(l)).otherwise(0).alias("n"), l.rlike(CLOSES).alias("bare"))), lambda c: c["n"] > 0
     )
-    ended = F.transform(marks, lambda c: F.struct(c["i"].alias("i"), F.array_min(F.transform(F.filter(marks, lambda d: (d["i"] > c["i"]) & d["bare"] & (d["n"] >= c["n"])), lambda d: d["i"])).alias("e")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
-    return F.aggregate(
-        ended,
-        start,
-        lambda acc, c: F.when((c["i"] >= acc["at"]) & c["e"].isNotNull(), F.struct((c["e"] + 1).alias("at"), F.concat(acc["out"], F.array(F.struct(c["i"].alias("s"), c["e"].alias("e")))).alias("out"))).otherwise(acc),
-        lambda acc: acc["out"],
-    )
+    end = lambda ms, c: F.array_min(F.transform(F.filter(ms, lambda d: (d["i"] > c["i"]) & d["bare"] & (d["n"] >= c["n"])), lambda d: d["i"]))
+    fold = lambda acc, c: F.when((c["i"] >= acc["at"]) & c["e"].isNotNull(), F.struct((c["e"] + 1).alias("at"), F.concat(acc["out"], F.array(F.struct(c["i"].alias("s"), c["e"].alias("e")))).alias("out"))).otherwise(acc)
+    return let(marks, lambda ms: F.aggregate(F.transform(ms, lambda c: F.struct(c["i"].alias("i"), end(ms, c).alias("e"))), start, fold, lambda acc: acc["out"]))
 
 
 SEGMENT = "struct<code:boolean,s:int,e:int,indent:string,fence:string,info:string,body:string,closer:string,text:string>"
@@ -44,18 +40,15 @@ def segments(md: Column) -> Column:
     A code segment has its parts apart: indent, fence, info, body (a newline after each line) and the closing line; s and e are line
     numbers. A text segment has text only.
     """
-    ls = lines(md)
-    spans = fence_spans(ls)
-    n = F.size(ls)
-    bounds = F.concat(F.array(F.struct(F.lit(-1).alias("s"), F.lit(-1).alias("e"))), spans, F.array(F.struct(n.alias("s"), n.alias("e"))))
+    return let(lines(md), lambda ls: let(fence_spans(ls), lambda spans: _cut(ls, spans)))
+
+
+def _cut(ls: Column, spans: Column) -> Column:
+    ends = F.concat(F.array(F.lit(-1)), F.transform(spans, lambda b: b["e"]))
+    starts = F.concat(F.transform(spans, lambda b: b["s"]), F.array(F.size(ls)))
+    none = [F.lit(None).cast("string").alias(c) for c in ("indent", "fence", "info", "body", "closer")]
+    gaps = F.zip_with(ends, starts, lambda e, s: F.struct(F.lit(False).alias("code"), (e + 1).alias("s"), (s - 1).alias("e"), *none, unlines(F.slice(ls, e + 2, s - e - 1)).alias("text")))
     code = F.transform(spans, lambda b: _code(ls, b))
-    gaps = F.transform(
-        F.slice(bounds, 2, F.size(bounds) - 1),
-        lambda b, i: F.struct(
-            F.lit(False).alias("code"), (F.element_at(bounds, i + 1)["e"] + 1).cast("int").alias("s"), (b["s"] - 1).cast("int").alias("e"), *(F.lit(None).cast("string").alias(c) for c in ("indent", "fence", "info", "body", "closer")),
-            unlines(F.slice(ls, F.element_at(bounds, i + 1)["e"] + 2, b["s"] - F.element_at(bounds, i + 1)["e"] - 1)).alias("text"),
-        ),
-    )
     return F.array_sort(F.concat(F.filter(gaps, lambda g: g["e"] >= g["s"]), code), lambda a, b: a["s"] - b["s"])
 
 
@@ -102,12 +95,11 @@ def transform_text(md: Column, fn: Callable[[Column], Column]) -> Column:
 
 def fences(docs: DataFrame, id_col: str, md_col: str = "md") -> DataFrame:
     """A row for each block: id, k (from 0), s, e, lang, info, body."""
-    code = F.filter(segments(F.col(md_col)), lambda g: g["code"])
-    return docs.select(id_col, F.posexplode(code).alias("k", "g")).select(id_col, "k", F.col("g.s").alias("s"), F.col("g.e").alias("e"), lang(F.col("g")).alias("lang"), F.col("g.info").alias("info"), F.col("g.body").alias("body"))
+    d = docs.select(id_col, F.filter(segments(F.col(md_col)), lambda g: g["code"]).alias("gs"))
+    return d.select(id_col, F.posexplode("gs").alias("k", "g")).select(id_col, "k", F.col("g.s").alias("s"), F.col("g.e").alias("e"), lang(F.col("g")).alias("lang"), F.col("g.info").alias("info"), F.col("g.body").alias("body"))
 
 
 def in_code_lines(docs: DataFrame, id_col: str, md_col: str = "md") -> DataFrame:
     """A row for each line: id, line_no, line, in_code (fence lines included)."""
-    ls = lines(F.col(md_col))
-    spans = fence_spans(ls)
-    return docs.select(id_col, spans.alias("spans"), F.posexplode(ls).alias("line_no", "line")).select(id_col, "line_no", "line", F.exists("spans", lambda b: (b["s"] <= F.col("line_no")) & (F.col("line_no") <= b["e"])).alias("in_code"))
+    d = docs.select(id_col, lines(F.col(md_col)).alias("ls")).withColumn("spans", fence_spans(F.col("ls")))
+    return d.select(id_col, "spans", F.posexplode("ls").alias("line_no", "line")).select(id_col, "line_no", "line", F.exists("spans", lambda b: (b["s"] <= F.col("line_no")) & (F.col("line_no") <= b["e"])).alias("in_code"))

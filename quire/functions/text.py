@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -42,3 +43,8 @@ def has(s: Column, *patterns: str) -> Column:
 def count(s: Column, needle: str) -> Column:
     """Non-overlapping occurrences of a literal."""
     return ((F.length(s) - F.length(F.replace(s, F.lit(needle), F.lit("")))) / len(needle)).cast("long")
+
+
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x evaluated once, however often f uses it. Python UDFs may be in x but not in f."""
+    return F.element_at(F.transform(F.array(x), f), 1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import language, markdown
@@ -10,17 +10,13 @@ from ..functions.fences import lang, segments
 from ..operators import chapters
 
 
-def clean(md: Column) -> Column:
-    """Illegal code points, glyphs, captions, glyphs of what captions freed, tags, dashes, diagrams, escapes."""
-    for step in (markdown.strip_illegal, markdown.remap, markdown.lift_captions, markdown.remap, language.retag, markdown.fix_dashes, markdown.repair_diagrams, markdown.unescape_code):
-        md = step(md)
-    return md
+STEPS = (markdown.strip_illegal, markdown.remap, markdown.lift_captions, markdown.remap, language.retag, markdown.fix_dashes, markdown.repair_diagrams, markdown.unescape_code)
 
 
 def clean_table(docs: DataFrame, md_col: str = "md") -> DataFrame:
-    """docs with md_col cleaned. One column a step, so that each is planned once."""
+    """docs with md_col cleaned: illegal code points, glyphs, captions, glyphs that captions freed, tags, dashes, diagrams, escapes."""
     out = docs
-    for step in (markdown.strip_illegal, markdown.remap, markdown.lift_captions, markdown.remap, language.retag, markdown.fix_dashes, markdown.repair_diagrams, markdown.unescape_code):
+    for step in STEPS:
         out = out.withColumn(md_col, step(F.col(md_col)))
     return out
 

@@ -4,12 +4,419 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ..functions import fences, markdown
+from ..functions.code import normal_form
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+from ..operators import batch, chapters, graft, pages, qa, render, scan, toc
+from . import chain
+from . import substrates as sub
+
+Query = Callable[[SparkSession, str], DataFrame]
+_Q: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(fn: Query) -> Query:
+        _Q[name] = fn
+        if sql is not None:
+            _SQL[name] = sql
+        return fn
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _q(text: str) -> str:
+    return text.replace("'", "''")
+
+
+def _n(c: Column) -> Column:
+    return F.sum(F.when(c, 1).otherwise(0)).cast("long")
+
+
+# ---- Markdown ------------------------------------------------------------------------------------------------------------------------
+
+LEX = (
+    sub.MD_DOCS
+    + r""",
+ls AS (SELECT conv_id, md, string_split(md, chr(10)) AS l FROM md_docs),
+ln AS (SELECT conv_id, i - 1 AS i, l[i] AS line FROM ls, LATERAL (SELECT unnest(generate_series(1, len(l))) AS i)),
+mk AS (SELECT conv_id, i, line, length(regexp_extract(line, '`{3,}')) AS n, regexp_full_match(line, '[ \t]{0,3}`{3,}[ \t]*') AS bare FROM ln WHERE regexp_full_match(line, '[ \t]{0,3}`{3,}[^`]*')),
+en AS (SELECT a.conv_id, a.i AS s, min(b.i) AS e FROM mk a JOIN mk b ON a.conv_id = b.conv_id AND b.i > a.i AND b.bare AND b.n >= a.n GROUP BY a.conv_id, a.i),
+nx AS (SELECT a.conv_id, a.s, a.e, min(b.s) AS nxt FROM en a LEFT JOIN en b ON a.conv_id = b.conv_id AND b.s > a.e GROUP BY a.conv_id, a.s, a.e),
+fn AS (SELECT conv_id, s, e, nxt FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY s) AS r FROM nx) WHERE r = 1 UNION ALL SELECT nx.conv_id, nx.s, nx.e, nx.nxt FROM fn JOIN nx ON nx.conv_id = fn.conv_id AND nx.s = fn.nxt),
+fb AS (SELECT fn.conv_id, fn.s, fn.e, regexp_extract(o.line, '^[ \t]{0,3}`{3,}(.*)$', 1) AS info, coalesce(string_agg(ln.line || chr(10), '' ORDER BY ln.i), '') AS body
+       FROM fn JOIN ln o ON o.conv_id = fn.conv_id AND o.i = fn.s LEFT JOIN ln ON ln.conv_id = fn.conv_id AND ln.i > fn.s AND ln.i < fn.e GROUP BY ALL),
+fl AS (SELECT *, lower(regexp_extract(trim(info), '^\S*')) AS lang FROM fb),
+lc AS (SELECT ln.conv_id, ln.i, ln.line, f.lang, f.s IS NOT NULL AS in_code, f.s IS NOT NULL AND ln.i > f.s AND ln.i < f.e AS inside FROM ln LEFT JOIN fl f ON f.conv_id = ln.conv_id AND ln.i BETWEEN f.s AND f.e)"""
+)
+
+
+@query("fence_stats", f"WITH RECURSIVE {LEX} SELECT lang, count(*) AS n_blocks, CAST(sum(e - s - 1) AS BIGINT) AS n_lines FROM fl GROUP BY lang")
+def fence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = fences.fences(sub.md_docs(spark, sf_dir), "conv_id")
+    return f.groupBy("lang").agg(F.count(F.lit(1)).alias("n_blocks"), F.sum(F.col("e") - F.col("s") - 1).cast("long").alias("n_lines"))
+
+
+@query("fence_blocks", f"WITH RECURSIVE {LEX} SELECT conv_id, CAST(s AS BIGINT) AS s, CAST(e AS BIGINT) AS e, lang, info, md5(body) AS body_md5 FROM fl")
+def fence_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = fences.fences(sub.md_docs(spark, sf_dir), "conv_id")
+    return f.select("conv_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"), "lang", "info", F.md5("body").alias("body_md5"))
+
+
+@query("illegal_codepoints", f"WITH {sub.MD_DOCS} SELECT conv_id, CAST(length(md) - length(regexp_replace(md, '[\\x{{FDD0}}-\\x{{FDEF}}\\x{{FFFE}}\\x{{FFFF}}]', '', 'g')) AS BIGINT) AS removed, CAST(len(regexp_extract_all(md, '[\\p{{L}}\\p{{N}}][\\x{{FDD0}}-\\x{{FDEF}}]+[\\p{{L}}\\p{{N}}]')) AS BIGINT) AS word_joins, md5(regexp_replace(md, '[\\x{{FDD0}}-\\x{{FDEF}}\\x{{FFFE}}\\x{{FFFF}}]', '', 'g')) AS md_md5 FROM md_docs")
+def illegal_codepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    md = F.col("md")
+    return sub.md_docs(spark, sf_dir).select("conv_id", F.size(markdown.illegal_chars(md)).cast("long").alias("removed"), markdown.illegal_word_joins(md).alias("word_joins"), F.md5(markdown.strip_illegal(md)).alias("md_md5"))
+
+
+_FIX = "translate(CASE WHEN regexp_matches(line, '^[ \\t]{0,3}#{1,6}[ \\t]*[ \\t]+') THEN regexp_replace(line, '^([ \\t]{0,3}#{1,6})[ \\t]*[ \\t]+', '\\1 ') ELSE regexp_replace(line, '^([ \\t]{0,3})\\*?[ \\t]+', '\\1- ') END, '', 'πΣ→')"
+
+
+@query("symbol_remap", f"WITH RECURSIVE {LEX} SELECT conv_id, md5(string_agg(CASE WHEN in_code THEN line ELSE {_FIX} END, chr(10) ORDER BY i)) AS md_md5, CAST(sum(CASE WHEN NOT in_code THEN length(line) - length(translate(line, '', '')) ELSE 0 END) AS BIGINT) AS glyphs, CAST(sum(CASE WHEN NOT in_code AND regexp_matches(line, '^[ \\t]{{0,3}}#{{1,6}}[ \\t]*[ \\t]+') THEN 1 ELSE 0 END) AS BIGINT) AS heading_markers, CAST(sum(CASE WHEN NOT in_code AND regexp_matches(line, '^[ \\t]{{0,3}}\\*?[ \\t]+') THEN 1 ELSE 0 END) AS BIGINT) AS list_markers FROM lc GROUP BY conv_id")
+def symbol_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = sub.md_docs(spark, sf_dir)
+    r = markdown.remap_report(F.col("md"))
+    return d.select("conv_id", F.md5(markdown.remap(F.col("md"))).alias("md_md5"), r["glyphs"].alias("glyphs"), r["heading_markers"].alias("heading_markers"), r["list_markers"].alias("list_markers"))
+
+
+_CAP = r"'^(Example|Figure|Listing|Table)\s+(\d+(?:\.\d+)*)\s+(\S.*)$'"
+
+
+@query("caption_lift", rf"WITH RECURSIVE {LEX}, c AS (SELECT *, trim(list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '\S'))[1]) AS first FROM fl WHERE lang <> 'mermaid') SELECT conv_id, CAST(s AS BIGINT) AS s, regexp_extract(first, {_CAP}, 1) || ' ' || regexp_extract(first, {_CAP}, 2) AS label FROM c WHERE regexp_matches(first, {_CAP})")
+def caption_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segs = F.filter(fences.segments(F.col("md")), lambda g: markdown._caption_of(g)[1])
+    g = sub.md_docs(spark, sf_dir).select("conv_id", F.explode(segs).alias("g"))
+    first = markdown._caption_of(F.col("g"))[0]
+    return g.select("conv_id", F.col("g.s").cast("long").alias("s"), F.concat(F.regexp_extract(first, markdown.CAPTION, 1), F.lit(" "), F.regexp_extract(first, markdown.CAPTION, 2)).alias("label"))
+
+
+@query("caption_lifted_docs")
+def caption_lifted_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.md_docs(spark, sf_dir).select("conv_id", F.md5(markdown.lift_captions(F.col("md"))).alias("md_md5"))
+
+
+@query("lang_retag")
+def lang_retag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.decisions(sub.md_docs(spark, sf_dir))
+
+
+@query("dash_fix", rf"WITH RECURSIVE {LEX} SELECT conv_id, md5(string_agg(CASE WHEN inside AND lang <> 'mermaid' THEN replace(regexp_replace(line, '(\s)[–—]([A-Za-z])', '\1--\2', 'g'), '−', '-') ELSE line END, chr(10) ORDER BY i)) AS md_md5 FROM lc GROUP BY conv_id")
+def dash_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.md_docs(spark, sf_dir).select("conv_id", F.md5(markdown.fix_dashes(F.col("md"))).alias("md_md5"))
+
+
+@query("unescape", rf"WITH RECURSIVE {LEX} SELECT conv_id, md5(string_agg(CASE WHEN inside AND lang <> 'mermaid' THEN regexp_replace(regexp_replace(line, '(^|[^\\])\\([!#$%&*@_`~])', '\1\2', 'g'), '(^|[^\\])\\([!#$%&*@_`~])', '\1\2', 'g') ELSE line END, chr(10) ORDER BY i)) AS md_md5 FROM lc GROUP BY conv_id")
+def unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.md_docs(spark, sf_dir).select("conv_id", F.md5(markdown.unescape_code(F.col("md"))).alias("md_md5"))
+
+
+_CNT = lambda s: f"(length(body) - length(replace(body, {s}, ''))) // length({s})"
+
+
+@query("mermaid_score", f"WITH RECURSIVE {LEX} SELECT conv_id, CAST(s AS BIGINT) AS s, CAST({_CNT('chr(92) || chr(110)')} + {_CNT(chr(39) + '&quot;' + chr(39))} + list_sum(list_transform(string_split(body, chr(10)), lambda x: (length(x) - length(replace(x, '\"', ''))) % 2)) + abs({_CNT(chr(39) + '[' + chr(39))} - {_CNT(chr(39) + ']' + chr(39))}) + abs({_CNT(chr(39) + '{' + chr(39))} - {_CNT(chr(39) + '}' + chr(39))}) AS BIGINT) AS issues FROM fl WHERE lang = 'mermaid'")
+def mermaid_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = sub.md_docs(spark, sf_dir).select("conv_id", F.explode(markdown.mermaid_blocks(F.col("md"))).alias("g"))
+    return g.select("conv_id", F.col("g.s").cast("long").alias("s"), markdown.diagram_issues(F.col("g.body")).cast("long").alias("issues"))
+
+
+@query("mermaid_repair")
+def mermaid_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = sub.md_docs(spark, sf_dir).select("conv_id", "md", markdown.repair_diagrams(F.col("md")).alias("new"))
+    score = lambda c: F.aggregate(markdown.mermaid_blocks(F.col(c)), F.lit(0).cast("long"), lambda a, g: a + markdown.diagram_issues(g["body"]))
+    return d.select("conv_id", score("md").alias("score_before"), score("new").alias("score_after"), (F.col("md") != F.col("new")).alias("changed"))
+
+
+_TITLE = r"trim(CASE WHEN regexp_matches(line, '^# .+$') THEN regexp_extract(line, '^# (.+)$', 1) WHEN regexp_matches(line, '^## Appendix [A-Z]\..+$') THEN regexp_extract(line, '^## (Appendix [A-Z]\..+)$', 1) END)"
+
+
+@query("chapter_boundaries", f"WITH RECURSIVE {LEX} SELECT conv_id, CAST(i AS BIGINT) AS line_no, {_TITLE} AS title FROM lc WHERE NOT in_code AND {_TITLE} IS NOT NULL")
+def chapter_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chapters.boundaries(sub.md_docs(spark, sf_dir), "conv_id").withColumn("line_no", F.col("line_no").cast("long"))
+
+
+_SLUG = r"CASE WHEN trim(substr(regexp_replace(trim(regexp_replace(lower(title), '[^\p{L}\p{N}_\s-]', '', 'g')), '[\s_-]+', '-', 'g'), 1, 60), '-') = '' THEN 'untitled' ELSE trim(substr(regexp_replace(trim(regexp_replace(lower(title), '[^\p{L}\p{N}_\s-]', '', 'g')), '[\s_-]+', '-', 'g'), 1, 60), '-') END"
+
+
+@query(
+    "chapter_split",
+    rf"""WITH RECURSIVE {LEX}, t AS (SELECT *, CASE WHEN NOT in_code THEN {_TITLE} END AS title FROM lc),
+c AS (SELECT *, count(title) OVER (PARTITION BY conv_id ORDER BY i) AS chapter, count(title) OVER (PARTITION BY conv_id) AS n FROM t),
+g AS (SELECT conv_id, chapter, max(title) AS title, string_agg(CASE WHEN title IS NOT NULL THEN '# ' || title ELSE line END, chr(10) ORDER BY i) AS content FROM c WHERE n > 0 GROUP BY conv_id, chapter)
+SELECT conv_id, CAST(chapter AS BIGINT) AS chapter, title, CASE WHEN chapter = 0 THEN '00-front-matter.md' ELSE lpad(CAST(chapter AS VARCHAR), CAST(greatest(2, length(CAST(chapter AS VARCHAR))) AS INTEGER), '0') || '-' || {_SLUG} || '.md' END AS file_name, md5(trim(content, chr(10)) || chr(10)) AS content_md5
+FROM g WHERE chapter > 0 OR regexp_matches(content, '\S')""",
+)
+def chapter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = chapters.split(sub.md_docs(spark, sf_dir), "conv_id")
+    return c.select("conv_id", "chapter", "title", "file_name", F.md5("content").alias("content_md5"))
+
+
+@query("clean_chain")
+def clean_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = sub.md_docs(spark, sf_dir)
+    return chain.clean_table(d).select("conv_id", F.md5("md").alias("md_md5"), F.length("md").cast("long").alias("n_chars"))
+
+
+@query("chain_report")
+def chain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.report(sub.md_docs(spark, sf_dir), "conv_id")
+
+
+# ---- blocks --------------------------------------------------------------------------------------------------------------------------
+
+_MATCH = (
+    sub.BLOCKS
+    + """,
+b1 AS (SELECT * FROM base WHERE type NOT IN ('footer', 'header', 'page_number')),
+m1 AS (SELECT * FROM model WHERE type = 'table' OR (type = 'image' AND content LIKE '%mermaid%') OR (type = 'equation' AND coalesce(text, '') <> '') OR (type = 'chart' AND regexp_matches(content, '\\S')) OR (type = 'code' AND code_body <> '')),
+pr AS (SELECT b.book, b.ord, b.type, m.ord AS m_ord, greatest(0, least(b.x1, m.x1) - greatest(b.x0, m.x0)) * greatest(0, least(b.y1, m.y1) - greatest(b.y0, m.y0)) AS inter, (b.x1 - b.x0) * (b.y1 - b.y0) AS ab, (m.x1 - m.x0) * (m.y1 - m.y0) AS am FROM b1 b JOIN m1 m ON b.book = m.book AND b.abs_page = m.abs_page AND b.type = m.type),
+sc AS (SELECT *, CASE WHEN inter > 0 AND ab + am - inter <> 0 THEN inter / (ab + am - inter) ELSE 0 END AS iou, CASE WHEN inter > 0 AND least(ab, am) <> 0 THEN inter / least(ab, am) ELSE 0 END AS con FROM pr),
+rk AS (SELECT *, row_number() OVER (PARTITION BY book, ord ORDER BY iou DESC, m_ord) AS ri, row_number() OVER (PARTITION BY book, ord ORDER BY con DESC, m_ord) AS rc FROM sc),
+hi AS (SELECT * FROM rk WHERE ri = 1 AND iou > 0.3),
+hc AS (SELECT * FROM rk WHERE type = 'code' AND rc = 1 AND con > 0.8 AND NOT EXISTS (SELECT 1 FROM hi WHERE hi.book = rk.book AND hi.ord = rk.ord)),
+hm AS (SELECT book, ord, m_ord, iou, con FROM hi UNION ALL SELECT book, ord, m_ord, iou, con FROM hc),
+mt AS (SELECT b.*, hm.m_ord, hm.iou, hm.con FROM b1 b LEFT JOIN hm ON b.book = hm.book AND b.ord = hm.ord)"""
+)
+
+
+@query("best_match", f"WITH {_MATCH} SELECT book, ord, type, m_ord, round(iou, 6) AS iou FROM mt")
+def best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = graft.best_match(graft.without_noise(sub.blocks(spark, sf_dir)), sub.blocks(spark, sf_dir, 1))
+    return m.select("book", "ord", "type", "m_ord", F.round("m_iou", 6).alias("iou"))
+
+
+@query("containment_match", f"WITH {_MATCH} SELECT book, ord, m_ord, round(con, 6) AS containment FROM mt WHERE type = 'code' AND iou <= 0.3")
+def containment_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = graft.best_match(graft.without_noise(sub.blocks(spark, sf_dir)), sub.blocks(spark, sf_dir, 1))
+    return m.where("type = 'code' AND m_iou <= 0.3").select("book", "ord", "m_ord", F.round("m_containment", 6).alias("containment"))
+
+
+_NOISE = "(type = 'image' AND cap = '' AND (x1 - x0) * (y1 - y0) < 2500)"
+
+
+@query(
+    "merge_counters",
+    rf"""WITH {_MATCH}, j AS (SELECT *, {_NOISE} AS noise FROM mt)
+SELECT book, {", ".join(f"CAST(sum(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT) AS {n}" for n, c in {
+        "table_swapped": "type = 'table' AND m_ord IS NOT NULL", "table_kept": "type = 'table' AND m_ord IS NULL", "mermaid_attached": "type = 'image' AND NOT noise AND m_ord IS NOT NULL", "images": "type = 'image' AND NOT noise", "eq_swapped": "type = 'equation' AND m_ord IS NOT NULL",
+        "eq_kept": "type = 'equation' AND m_ord IS NULL", "chart_enriched": "type = 'chart' AND m_ord IS NOT NULL", "charts": "type = 'chart'", "noise_dropped": "noise", "code_pipeline_only": "type = 'code' AND m_ord IS NULL"}.items())} FROM j GROUP BY book""",
+)
+def merge_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = graft.counters(graft.merge(sub.blocks(spark, sf_dir), sub.blocks(spark, sf_dir, 1)))
+    return c.select("book", *(x for x in graft.COUNTERS if x not in ("code_verified", "code_flagged", "code_indent_flagged")))
+
+
+@query("code_reconcile")
+def code_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = graft.merge(sub.blocks(spark, sf_dir), sub.blocks(spark, sf_dir, 1))
+    return m.where("type = 'code'").groupBy("book", "code_path").agg(F.count(F.lit(1)).alias("n"), _n(F.col("reindented")).alias("n_reindented"), _n(F.col("indent_flag")).alias("n_indent"), F.max(F.length(normal_form(F.col("code_body")))).cast("long").alias("longest_form"))
+
+
+@query("merged_blocks")
+def merged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = graft.merge(sub.blocks(spark, sf_dir), sub.blocks(spark, sf_dir, 1))
+    return m.where("kept").select("book", "ord", "type", "event", F.md5(F.concat_ws("|", "text", "code_body", "table_body", "content", "sub_type")).alias("content_md5"))
+
+
+@query("type_histogram", f"WITH {sub.BLOCKS} SELECT type, count(*) AS n FROM base GROUP BY type")
+def type_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.blocks(spark, sf_dir).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+_LINES_BY_SOURCE = "SELECT source AS book, CAST(doc_id AS INT) AS abs_page, line AS text FROM @lines"
+
+
+@query("repeated_lines", rf"WITH {sub.BLOCKS}, p AS (SELECT source AS book, count(DISTINCT doc_id) AS npages FROM documents GROUP BY source), t AS (SELECT DISTINCT source AS book, doc_id, trim(line, ' ' || chr(9) || chr(13)) AS text FROM lines) SELECT t.book, text, count(*) AS n_pages FROM t JOIN p USING (book) WHERE length(text) BETWEEN 1 AND 199 GROUP BY t.book, text, npages HAVING count(*) >= greatest(3, floor(0.04::DOUBLE * npages))")
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = sub.sql(spark, sub._LINES_SPARK, documents=sub.table(spark, sf_dir, "documents"))
+    b = sub.sql(spark, _LINES_BY_SOURCE, lines=lines)
+    n = sub.table(spark, sf_dir, "documents").groupBy(F.col("source").alias("book")).agg(F.count_distinct("doc_id").alias("npages"))
+    return pages.repeated_lines(b, n, share=0.04)
+
+
+@query("coverage_gaps", f"WITH {sub.BLOCKS}, t AS (SELECT doc_id AS book, CAST(floor(pos / 8) AS INT) AS page, string_agg(line, ' ' ORDER BY pos) AS text FROM lines GROUP BY ALL) SELECT book, page FROM t WHERE length(trim(text)) > 50 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.book = t.book AND b.abs_page = t.page AND b.ord % 3 = 0 AND b.ord % 16 < 8)")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = sub.blocks(spark, sf_dir)
+    text = render.assemble(b.select("book", "ord", F.col("text").alias("md"), F.col("abs_page").alias("page")), ["book", "page"], " ").withColumnRenamed("md", "text")
+    return pages.coverage_gaps(text, b.where("ord % 3 = 0 AND ord % 16 < 8"))
+
+
+_RICH = "rp AS (SELECT DISTINCT book, abs_page AS page FROM base WHERE type IN ('table', 'image', 'chart') AND ord % 4 = 0), rn AS (SELECT *, CASE WHEN page - lag(page) OVER (PARTITION BY book ORDER BY page) <= 2 THEN 0 ELSE 1 END AS new FROM rp), rr AS (SELECT book, page, sum(new) OVER (PARTITION BY book ORDER BY page) AS run FROM rn), runs AS (SELECT book, CAST(min(page) AS BIGINT) AS a, CAST(max(page) AS BIGINT) AS b FROM rr GROUP BY book, run)"
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = sub.blocks(spark, sf_dir).where("type IN ('table', 'image', 'chart') AND ord % 4 = 0")
+    r = pages.group_runs(pages.rich_pages(b), 1)
+    return r.select("book", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+
+
+@query("rich_runs", f"WITH {sub.BLOCKS}, {_RICH} SELECT * FROM runs")
+def rich_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _runs(spark, sf_dir)
+
+
+@query("capped_runs", f"WITH {sub.BLOCKS}, {_RICH}, x AS (SELECT book, b, unnest(generate_series(a, b, 3)) AS a FROM runs) SELECT book, CAST(a AS BIGINT) AS a, CAST(least(a + 2, b) AS BIGINT) AS b FROM x")
+def capped_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.cap_runs(_runs(spark, sf_dir), 3).select("book", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+
+
+# ---- table of contents ---------------------------------------------------------------------------------------------------------------
+
+_KEY = r"regexp_replace(regexp_replace(lower(trim({})), '^(?:part|chapter|appendix)\s+[clxvi\d]+\s*[.:-]?\s*', ''), '[^a-z0-9]+', '', 'g')"
+_TOC = f"""tb AS ({sub.TOC_BLOCKS.replace("@", "")}), te AS (SELECT book, seq, title, page1 - 1 AS page FROM ({sub.TOC.replace("@", "")}) WHERE level = 1 AND page1 >= 1),
+bk AS (SELECT book, ord, abs_page, {_KEY.format("text")} AS key FROM tb), ek AS (SELECT book, seq, page, {_KEY.format("title")} AS key FROM te),
+cd AS (SELECT e.book, e.seq, b.ord FROM ek e JOIN bk b ON e.book = b.book AND e.key = b.key AND e.key <> '' AND b.abs_page BETWEEN e.page - 1 AND e.page + 2)"""
+
+
+def _toc(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    p = sub.table(spark, sf_dir, "pages")
+    return sub.sql(spark, sub.TOC_BLOCKS, pages=p), toc.first_level(sub.sql(spark, sub.TOC, pages=p))
+
+
+@query("toc_match", f"WITH {_TOC} SELECT book, seq, min(ord) AS ord FROM cd GROUP BY book, seq")
+def toc_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toc.match(*_toc(spark, sf_dir))
+
+
+@query("toc_apply")
+def toc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toc.apply(*_toc(spark, sf_dir))
+    return out.select("book", F.col("ord").cast("long").alias("ord"), "text", F.col("text_level").cast("long").alias("text_level"), "src")
+
+
+# ---- rendering and review ------------------------------------------------------------------------------------------------------------
+
+_FLAGS = "ord % 10 = 0 AS code_flag, ord % 15 = 0 AS indent_flag, ord % 20 = 0 AS reindented"
+
+
+def _flagged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.blocks(spark, sf_dir).selectExpr("*", *_FLAGS.split(", "))
+
+
+_HEAD = "CASE WHEN text_level > 0 THEN repeat('#', text_level) || ' ' ELSE '' END || text"
+_LIST = "'- ' || replace(text, ' ', chr(10) || '- ')"
+_CODE = "'```' || sub_type || chr(10) || code_body || chr(10) || '```'"
+
+
+def _cap(lead: str, tail: str) -> str:
+    return f"CASE WHEN cap <> '' THEN {lead} || cap || '{tail}' ELSE '' END"
+
+
+_NL2 = "chr(10) || chr(10)"
+_FULL = f"""CASE type WHEN 'text' THEN {_HEAD} WHEN 'list' THEN {_LIST} WHEN 'equation' THEN text WHEN 'table' THEN table_body || {_cap(_NL2 + " || '*'", "*")}
+ WHEN 'chart' THEN '![](' || img_path || ')' || {_cap(_NL2 + " || '*'", "*")} || CASE WHEN content IS NOT NULL THEN {_NL2} || '<details><summary>chart data</summary>' || {_NL2} || content || {_NL2} || '</details>' ELSE '' END
+ WHEN 'image' THEN '![](' || img_path || ')' || {_cap(_NL2 + " || '*'", "*")}
+ WHEN 'code' THEN CASE WHEN ord % 10 = 0 THEN '{_q(render.NOTE_TOKENS)}' || CASE WHEN ord % 20 = 0 THEN 'indentation the model''s' ELSE 'as they stand' END || '. -->' || chr(10) WHEN ord % 15 = 0 THEN '{_q(render.NOTE_INDENT.strip())}' || chr(10) ELSE '' END || {_CODE} ELSE '' END"""
+_BRIEF = f"""CASE type WHEN 'text' THEN {_HEAD} WHEN 'list' THEN {_LIST} WHEN 'equation' THEN text WHEN 'table' THEN table_body || {_cap("chr(10) || '*'", "*")} WHEN 'code' THEN {_CODE}
+ WHEN 'chart' THEN '[CHART ' || img_path || ']' || {_cap("' — '", "")} || CASE WHEN content IS NOT NULL THEN chr(10) || '[+DATA]' || chr(10) || content ELSE '' END WHEN 'image' THEN '[IMAGE ' || img_path || ']' || {_cap("' — '", "")} ELSE '' END"""
+
+
+@query("render_full", f"WITH {sub.BLOCKS} SELECT book, ord, md5({_FULL}) AS md_md5 FROM base")
+def render_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _flagged_blocks(spark, sf_dir)
+    return b.select("book", "ord", F.md5(render.full(b)).alias("md_md5"))
+
+
+@query("render_qa", f"WITH {sub.BLOCKS} SELECT book, ord, md5({_BRIEF}) AS md_md5 FROM base")
+def render_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = sub.blocks(spark, sf_dir)
+    return b.select("book", "ord", F.md5(render.brief(b)).alias("md_md5"))
+
+
+@query("assemble_md", f"WITH {sub.BLOCKS} SELECT book, md5(string_agg({_FULL}, {_NL2} ORDER BY ord)) AS md_md5 FROM base GROUP BY book")
+def assemble_md(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _flagged_blocks(spark, sf_dir)
+    return render.assemble(b.withColumn("md", render.full(b)), ["book"]).select("book", F.md5("md").alias("md_md5"))
+
+
+_REPORT = f"rp AS (SELECT book, CAST(count(*) FILTER (type = 'code') AS BIGINT) AS code_blocks, CAST(count(*) FILTER (type = 'code' AND (ord % 10 = 0 OR ord % 15 = 0)) AS BIGINT) AS flagged, CAST(count(*) FILTER (type = 'code' AND ord % 10 = 0) AS BIGINT) AS diverged, CAST(count(*) FILTER (type = 'code' AND ord % 10 <> 0 AND ord % 15 = 0) AS BIGINT) AS indent_suspect FROM base GROUP BY book)"
+
+
+@query("flagged_report", f"WITH {sub.BLOCKS}, {_REPORT} SELECT * FROM rp")
+def flagged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qa.report(_flagged_blocks(spark, sf_dir))
+
+
+@query("flagged_blocks", rf"WITH {sub.BLOCKS} SELECT book, CAST(row_number() OVER (PARTITION BY book ORDER BY abs_page, ord) AS BIGINT) AS rank, CAST(abs_page + 1 AS BIGINT) AS page, sub_type AS lang, CASE WHEN ord % 10 = 0 THEN 'diverged' ELSE 'indent' END AS flag, substr(trim(code_body), 1, 80) AS snippet FROM base WHERE type = 'code' AND (ord % 10 = 0 OR ord % 15 = 0)")
+def flagged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = qa.flagged(_flagged_blocks(spark, sf_dir))
+    return f.withColumn("rank", F.col("rank").cast("long")).withColumn("page", F.col("page").cast("long"))
+
+
+@query("flagged_rank", f"WITH {sub.BLOCKS}, {_REPORT} SELECT book, flagged, CAST(row_number() OVER (ORDER BY flagged DESC, book) AS BIGINT) AS rank FROM rp ORDER BY rank LIMIT 20")
+def flagged_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = qa.rank_books(qa.report(_flagged_blocks(spark, sf_dir)).withColumn("input_pos", F.col("book")), 20)
+    return top.select("book", "flagged", F.row_number().over(Window.orderBy(F.desc("flagged"), "book")).cast("long").alias("rank"))
+
+
+@query("review_pages", f"WITH {sub.BLOCKS}, m AS (SELECT DISTINCT book, abs_page AS sample_idx, abs_page * 7 + 3 AS orig_page FROM base WHERE abs_page % 2 = 0) SELECT m.book, CAST(sample_idx AS BIGINT) AS sample_idx, CAST(orig_page AS BIGINT) AS orig_page, md5(string_agg({_BRIEF}, {_NL2} ORDER BY ord)) AS md_md5 FROM m JOIN base b ON m.book = b.book AND b.abs_page = sample_idx GROUP BY ALL")
+def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = sub.blocks(spark, sf_dir)
+    m = b.where("abs_page % 2 = 0").select("book", F.col("abs_page").alias("sample_idx"), (F.col("abs_page") * 7 + 3).alias("orig_page")).distinct()
+    r = qa.review_pages(b, m)
+    return r.select("book", F.col("sample_idx").cast("long").alias("sample_idx"), F.col("orig_page").cast("long").alias("orig_page"), F.md5("md").alias("md_md5"))
+
+
+@query("page_sample")
+def page_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    books = sub.table(spark, sf_dir, "documents").groupBy(F.col("source").alias("book")).agg(F.count(F.lit(1)).cast("int").alias("npages"))
+    return qa.sample_pages(books)
+
+
+# ---- triage and batches --------------------------------------------------------------------------------------------------------------
+
+_SCAN = """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN concat('Copyright (c) ', 1990 + doc_id % 30, chr(10), text) WHEN doc_id % 4 = 1 THEN concat('In ', 1950 + doc_id % 70, ' and 2001', chr(10), text) ELSE text END AS text, concat('/in/', CASE WHEN doc_id % 2 = 0 THEN '9781234567890-' ELSE '' END, 'the_book-', doc_id, '.pdf') AS file FROM @documents"""
+
+
+def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = sub.sql(spark, _SCAN, documents=sub.table(spark, sf_dir, "documents"))
+    return scan.scan(d.select("doc_id", "file", F.lit(1).alias("npages"), F.array("text").alias("texts"), F.lit(None).cast("string").alias("error"))).withColumn("doc_id", F.regexp_extract("file", r"-(\d+)\.pdf", 1).cast("long"))
+
+
+_GOOD = r"length(x) BETWEEN 8 AND 90 AND NOT regexp_matches(x, '(?:19|20)[0-9]{2}') AND NOT contains(x, '©') AND NOT contains(lower(x), 'http') AND NOT regexp_matches(lower(x), '^(?:all rights|copyright|isbn|www\.)') AND length(regexp_replace(x, '\P{L}', '', 'g')) / greatest(length(x), 1) > 0.6"
+
+
+@query("title_guess", rf"WITH s AS ({_SCAN.replace('@', '')}), t AS (SELECT doc_id, file, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: {_GOOD})[1] AS found FROM s) SELECT doc_id, coalesce(found, 'the book ' || doc_id) AS title, CASE WHEN found IS NULL THEN 'filename-fallback' ELSE 'text' END AS title_conf FROM t")
+def title_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scan(spark, sf_dir).select("doc_id", "title", "title_conf")
+
+
+@query("year_guess", rf"WITH s AS ({_SCAN.replace('@', '')}), t AS (SELECT doc_id, list_max(list_transform(regexp_extract_all(coalesce(text, ''), '(?i)copyright\s*(?:©|\(c\))?\s*(?:19|20)[0-9]{{2}}'), lambda x: CAST(right(x, 4) AS BIGINT))) AS told, list_max(list_transform(regexp_extract_all(coalesce(text, ''), '(?:19|20)[0-9]{{2}}'), lambda x: CAST(x AS BIGINT))) AS loose FROM s) SELECT doc_id, coalesce(told, loose) AS year, CASE WHEN told IS NOT NULL THEN 'copyright-line' WHEN loose IS NOT NULL THEN 'loose-year' ELSE 'none-found' END AS year_conf FROM t")
+def year_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scan(spark, sf_dir).select("doc_id", F.col("year").cast("long").alias("year"), "year_conf")
+
+
+_MAN = "SELECT CAST(o_orderkey AS STRING) AS slug, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'convert_failed' ELSE 'fetch_failed' END AS status, o_orderpriority AS error_class, o_custkey AS book, o_orderkey AS seq FROM @orders"
+
+
+def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.sql(spark, _MAN, orders=sub.table(spark, sf_dir, "orders"))
+
+
+@query("manifest_rollup", f"WITH m AS ({_MAN.replace('@', '')}) SELECT error_class, count(*) AS n FROM m WHERE status <> 'done' GROUP BY error_class")
+def manifest_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch.error_classes(_attempts(spark, sf_dir))
+
+
+@query("manifest_to_do", f"WITH m AS ({_MAN.replace('@', '')}) SELECT CAST(o_orderkey AS VARCHAR) AS slug, o_orderkey AS pos FROM orders WHERE CAST(o_orderkey AS VARCHAR) NOT IN (SELECT slug FROM m WHERE status = 'done')")
+def manifest_to_do(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _attempts(spark, sf_dir)
+    return batch.to_do(m.select("slug", F.col("seq").alias("pos")), m)
+
+
+@query("failure_runs", f"WITH m AS ({_MAN.replace('@', '')}), a AS (SELECT book, seq, status = 'done' AS ok, sum(CASE WHEN status = 'done' THEN 1 ELSE 0 END) OVER (PARTITION BY book ORDER BY seq) AS since FROM m) SELECT book, seq, ok, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY book, since ORDER BY seq) AS BIGINT) AS streak FROM a")
+def failure_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.failure_runs(_attempts(spark, sf_dir).select("book", "seq", (F.col("status") == "done").alias("ok")))
+
+

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.chain import clean
+from ..plans.chain import clean_table
 
 
 def markdown_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -21,7 +21,7 @@ def ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, then: Ca
     """Clean what is there and not done yet (availableNow) into Parquet at out. The checkpoint makes it resumable and exactly-once; then is called with each batch."""
 
     def batch(df: DataFrame, n: int) -> None:
-        done = df.select("path", clean(F.col("md")).alias("md"))
+        done = clean_table(df.select("path", "md"))
         done.write.mode("overwrite").parquet(f"{out}/batch={n}")
         if then is not None:
             then(done, n)
