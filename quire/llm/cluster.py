@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,14 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files that no plan refers to any longer; it acts on what a second collection finds."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
+
+
 def settle(df: DataFrame, name: str, free: bool = True) -> DataFrame:
     """Cut the lineage: write df to a table in the shared folder and read that. Executors may be lost afterwards. With `free`, shuffle files nobody refers to any longer are released.
 
@@ -32,9 +41,7 @@ def settle(df: DataFrame, name: str, free: bool = True) -> DataFrame:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     if free:
-        del df
-        gc.collect()
-        jvm.System.gc()
+        release(spark)
     return out
 
 
