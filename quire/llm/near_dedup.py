@@ -268,43 +268,48 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def links(bits: np.ndarray, size: np.ndarray, split: int | None = None, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs of rows, in one collection or, with split, between rows before and from it. Rows of each side are sorted by size."""
+def linked_blocks(bits: np.ndarray, size: np.ndarray, split: int | None = None, num: int = NUM, den: int = DEN) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """Pairs of leaves with a matrix that tells which of their rows are linked, in one collection (each unordered pair of leaves once, with itself too) or, with split, between rows before and from it. Rows of each side are sorted by size."""
     if split is None:
         a = b = build_tree(bits, size)
         shift = 0
     else:
         a, b, shift = build_tree(bits[:split], size[:split]), build_tree(bits[split:], size[split:]), split
-    xs, ys = [], []
-    if a is not None and b is not None:
-        for r, s in traverse(a, b, num, den):
-            s = slice(s.start + shift, s.stop + shift)
-            overlap = np.zeros((r.stop - r.start, s.stop - s.start), np.int64)
-            for w in range(0, bits.shape[1], 256):
-                overlap += np.bitwise_count(bits[r, None, w : w + 256] & bits[None, s, w : w + 256]).sum(axis=2, dtype=np.int64)
-            i, j = np.nonzero((overlap * (num + den) >= num * (size[r, None] + size[None, s])) & (overlap > 0))
-            i, j = i + r.start, j + s.start
-            if split is None:
-                keep = i < j if r == s else np.ones(len(i), bool)
-                i, j = i[keep], j[keep]
-            xs.append(i)
-            ys.append(j)
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(xs), np.concatenate(ys)) if xs else (none, none)
-
-
-def _forest(n: int, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs, by lowering labels."""
-    label = np.arange(n)
-    while len(x):
-        low = label.copy()
-        np.minimum.at(low, x, label[y])
-        np.minimum.at(low, y, label[x])
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    return [(i, int(r)) for i, r in enumerate(label.tolist()) if i != r]
+    if a is None or b is None:
+        return
+    for r, s in traverse(a, b, num, den):
+        s = slice(s.start + shift, s.stop + shift)
+        overlap = np.zeros((r.stop - r.start, s.stop - s.start), np.int64)
+        for w in range(0, bits.shape[1], 128):
+            overlap += np.bitwise_count(bits[r, None, w : w + 128] & bits[None, s, w : w + 128]).sum(axis=2, dtype=np.int64)
+        mask = (overlap * (num + den) >= num * (size[r, None] + size[None, s])) & (overlap > 0)
+        if r == s:
+            np.fill_diagonal(mask, False)
+        if mask.any():
+            yield r, s, mask
+
+
+def count_links(bits: np.ndarray, size: np.ndarray, members: np.ndarray, split: int | None = None, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
+    """For each row how many members the rows linked with it have, and the smallest row of its component. No list of pairs is made."""
+    count, parent = np.zeros(len(size), np.int64), list(range(len(size)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for r, s, mask in linked_blocks(bits, size, split, num, den):
+        count[r] += mask @ members[s]
+        if r != s:
+            count[s] += members[r] @ mask
+        x, y = np.array([root(i) for i in range(r.start, r.stop)]), np.array([root(i) for i in range(s.start, s.stop)])
+        i, j = np.nonzero(mask & (x[:, None] != y[None, :]))
+        for p, q in {*zip(x[i].tolist(), y[j].tolist())}:
+            p, q = root(p), root(q)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+    return count, np.array([root(i) for i in range(len(size))], np.int64)
 
 
 PACKED = "cluster long, block long, keys binary, members binary, pivot binary, gone binary, n_gone binary, extra binary, n_extra binary"
@@ -358,12 +363,11 @@ def _compare(work: DataFrame) -> DataFrame:
                 split = len(one[0])
                 one = np.concatenate((one[0], two[0])), np.concatenate((one[1], two[1])), one[2] + two[2]
             key, m, sets = one
-            x, y = links(bitmaps(sets), np.array([len(s) for s in sets]), split)
-            n = np.zeros(len(key), np.int64)
-            np.add.at(n, x, m[y])
-            np.add.at(n, y, m[x])
+            size, bits = np.array([len(s) for s in sets]), bitmaps(sets)
+            del sets, one
+            n, top = count_links(bits, size, m, split)
             out += [(int(key[i]), None, int(n[i])) for i in np.flatnonzero(n)]
-            out += [(int(key[i]), int(key[r]), 0) for i, r in _forest(len(key), x, y)]
+            out += [(int(key[i]), int(key[top[i]]), 0) for i in np.flatnonzero(top != np.arange(len(top)))]
         cols = list(zip(*out)) if out else [(), (), ()]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("key", "other", "links"), cols)})
 
