@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.code import base_lines, indent_suspect, normal_form, strip_callouts, strip_listing_numbers, transplant_indent
+from ..functions.code import indent_suspect, normal_form, strip_callouts, strip_listing_numbers, transplant_indent
 from ..functions.geometry import area, containment, iou
 from ..functions.text import blank, strip
 
@@ -73,7 +73,7 @@ def merge(base: DataFrame, model: DataFrame, repeated: DataFrame | None = None,
     path = F.when(code & hit & same, "verified").when(code & hit, "flagged").when(code, "pipeline_only")
     j = j.withColumn("code_path", path)
     flagged = F.col("code_path") == "flagged"
-    j = j.withColumn("moved", F.when(flagged, transplant_indent(F.when(flagged, F.col("m.code_body")), F.when(flagged, base_lines(F.col("code_body"))))))
+    j = j.withColumn("moved", F.when(flagged, transplant_indent(F.when(flagged, F.col("m.code_body")), F.when(flagged, F.coalesce("code_body", F.lit(""))))))
     j = j.withColumn("indent_flag", F.coalesce(indent_suspect(F.when(F.col("code_path") == "verified", F.col("m.code_body"))), F.lit(False)))
     event = (
         F.when(F.col("noise"), "noise_dropped").when(t == "table", F.when(hit, "table_swapped").otherwise("table_kept")).when(t == "equation", F.when(hit, "eq_swapped").otherwise("eq_kept"))

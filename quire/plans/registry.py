@@ -81,10 +81,12 @@ def illegal_codepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sub.md_docs(spark, sf_dir).select("conv_id", F.size(markdown.illegal_chars(md)).cast("long").alias("removed"), markdown.illegal_word_joins(md).alias("word_joins"), F.md5(markdown.strip_illegal(md)).alias("md_md5"))
 
 
-_FIX = "translate(CASE WHEN regexp_matches(line, '^[ \\t]{0,3}#{1,6}[ \\t]*[ \\t]+') THEN regexp_replace(line, '^([ \\t]{0,3}#{1,6})[ \\t]*[ \\t]+', '\\1 ') ELSE regexp_replace(line, '^([ \\t]{0,3})\\*?[ \\t]+', '\\1- ') END, '', 'πΣ→')"
+_BULLET, _GLYPHS = markdown.BULLET, "".join(markdown.GLYPHS)
+_IS_HEAD, _IS_ITEM = rf"regexp_matches(line, '^[ \t]{{0,3}}#{{1,6}}[ \t]*{_BULLET}[ \t]+')", rf"regexp_matches(line, '^[ \t]{{0,3}}\*?{_BULLET}[ \t]+')"
+_FIX = rf"translate(CASE WHEN {_IS_HEAD} THEN regexp_replace(line, '^([ \t]{{0,3}}#{{1,6}})[ \t]*{_BULLET}[ \t]+', '\1 ') ELSE regexp_replace(line, '^([ \t]{{0,3}})\*?{_BULLET}[ \t]+', '\1- ') END, '{_GLYPHS}', 'πΣ→')"
 
 
-@query("symbol_remap", f"WITH RECURSIVE {LEX} SELECT conv_id, md5(string_agg(CASE WHEN in_code THEN line ELSE {_FIX} END, chr(10) ORDER BY i)) AS md_md5, CAST(sum(CASE WHEN NOT in_code THEN length(line) - length(translate(line, '', '')) ELSE 0 END) AS BIGINT) AS glyphs, CAST(sum(CASE WHEN NOT in_code AND regexp_matches(line, '^[ \\t]{{0,3}}#{{1,6}}[ \\t]*[ \\t]+') THEN 1 ELSE 0 END) AS BIGINT) AS heading_markers, CAST(sum(CASE WHEN NOT in_code AND regexp_matches(line, '^[ \\t]{{0,3}}\\*?[ \\t]+') THEN 1 ELSE 0 END) AS BIGINT) AS list_markers FROM lc GROUP BY conv_id")
+@query("symbol_remap", f"WITH RECURSIVE {LEX} SELECT conv_id, md5(string_agg(CASE WHEN in_code THEN line ELSE {_FIX} END, chr(10) ORDER BY i)) AS md_md5, CAST(sum(CASE WHEN NOT in_code THEN length(line) - length(translate(line, '{_GLYPHS}', '')) ELSE 0 END) AS BIGINT) AS glyphs, CAST(sum(CASE WHEN NOT in_code AND {_IS_HEAD} THEN 1 ELSE 0 END) AS BIGINT) AS heading_markers, CAST(sum(CASE WHEN NOT in_code AND {_IS_ITEM} THEN 1 ELSE 0 END) AS BIGINT) AS list_markers FROM lc GROUP BY conv_id")
 def symbol_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sub.md_docs(spark, sf_dir)
     r = markdown.remap_report(F.col("md"))
