@@ -88,7 +88,7 @@ BLOCKS = f"lines AS ({_LINES_DUCK}), base AS ({_block_sql(0).replace('@', '')}),
 
 TOC_BLOCKS = """
 SELECT page_id % 40 AS book, CAST(page_id AS BIGINT) AS ord, CAST(page_id AS INT) AS abs_page, 'text' AS type,
-  CASE WHEN page_id % 6 = 0 THEN concat('Part ', page_id % 9, ': ', upper(regexp_extract(html, '<title>([^<]*)</title>', 1))) WHEN page_id % 6 = 1 THEN 'Elsewhere' ELSE regexp_extract(html, '<title>([^<]*)</title>', 1) END AS text,
+  CASE WHEN page_id % 6 = 0 THEN concat('Part ', page_id % 9, ': ', regexp_extract(html, '<title>([^<]*)</title>', 1), '!') WHEN page_id % 6 = 1 THEN 'Elsewhere' ELSE regexp_extract(html, '<title>([^<]*)</title>', 1) END AS text,
   CASE WHEN page_id % 4 = 0 THEN 1 ELSE 2 END AS text_level, 'base' AS src
 FROM @pages"""
 TOC = """
