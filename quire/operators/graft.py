@@ -98,3 +98,12 @@ def counters(merged: DataFrame) -> DataFrame:
     e = F.col("event")
     rules = {c: e == c for c in COUNTERS} | {"charts": F.col("kept") & (F.col("type") == "chart"), "images": F.col("kept") & (F.col("type") == "image"), "code_indent_flagged": F.col("indent_flag")}
     return merged.groupBy("book").agg(*(n(rules[c]).alias(c) for c in COUNTERS))
+
+
+def with_images(blocks: DataFrame, existing: DataFrame) -> DataFrame:
+    """blocks with img_path set to images/<name> where imgdir/img_path is among existing (path), and source, the file to copy; other rows as they are."""
+    full = F.concat_ws("/", "imgdir", "img_path")
+    e = existing.select(F.col("path").alias("__p")).distinct()
+    j = blocks.join(e, full == F.col("__p"), "left")
+    name = F.regexp_extract("img_path", r"([^/]*)\z", 1)
+    return j.withColumn("source", F.col("__p")).withColumn("img_path", F.when(F.col("__p").isNotNull(), F.concat(F.lit("images/"), name)).otherwise(F.col("img_path"))).drop("__p")
