@@ -46,8 +46,12 @@ def settle(df: DataFrame, name: str, free: bool = True) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the size of df, for choosing numbers of buckets; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Catalyst's estimate of the size of df, for choosing numbers of buckets; where it has none, the bytes of the strings are added up."""
+    told = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if told < 1 << 55:
+        return told
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    return int(df.select(F.sum(sum(texts, F.lit(16).cast("long")))).first()[0] or 0)
 
 
 def buckets_for(df: DataFrame, each: int = 12 << 20, least: int = 4, most: int = 1 << 20) -> int:

@@ -265,12 +265,10 @@ def _emit(d: DataFrame, buckets: int, parts: int, length: int, gram: int, hot: n
                 x, g, doc, a, b = (v[~known] for v in (x, g, doc, a, b))
                 at_bucket = ((g >> tk.U64(32)) % tk.U64(buckets)).astype(np.int64)
                 o = np.argsort(at_bucket, kind="stable")
-                edge = np.searchsorted(at_bucket[o], np.arange(buckets + 1))
-                for q in range(buckets):
-                    i = o[edge[q] : edge[q + 1]]
-                    if len(i):
-                        u, inv = np.unique(doc[i], return_inverse=True)
-                        rows.append(dict(kind=kind, bucket=q, part=-1, keys=keys[u].astype("i8").tobytes(), ids=ids[u].astype("i8").tobytes(), doc=tk.squeeze(inv), h=x[i].tobytes(), gram=g[i].astype("u4").tobytes(), a=tk.squeeze(a[i]), b=(b[i] - a[i]).astype("u1").tobytes()))
+                for q, m, n in tk.runs(at_bucket[o]):
+                    i = o[m:n]
+                    u, inv = np.unique(doc[i], return_inverse=True)
+                    rows.append(dict(kind=kind, bucket=q, part=-1, keys=keys[u].astype("i8").tobytes(), ids=ids[u].astype("i8").tobytes(), doc=tk.squeeze(inv), h=x[i].tobytes(), gram=g[i].astype("u4").tobytes(), a=tk.squeeze(a[i]), b=(b[i] - a[i]).astype("u1").tobytes()))
                 if rows:
                     yield _batch(rows, _ENTRY)
 

@@ -28,7 +28,7 @@ from .graph import components
 
 SHINGLE = 5
 NUM, DEN = 80, 100  # linked when DEN * intersection >= NUM * union
-BLOCK = 2_000
+BLOCK = 1_000
 LEAF = 32
 FAN = 4
 U64 = tk.U64
@@ -106,13 +106,11 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
             h, x = h[first[x]], x[first[x]]
             q = ((h >> U64(32)) % U64(buckets)).astype(np.int64)
             o = np.argsort(q.astype(np.uint16) if buckets < 1 << 16 else q, kind="stable")
-            edge = np.searchsorted(q[o], np.arange(buckets + 1))
             rows = []
-            for b in range(buckets):
-                i = o[edge[b] : edge[b + 1]]
-                if len(i):
-                    u, inv = np.unique(x[i], return_inverse=True)
-                    rows.append((b, keys[u].tobytes(), s[u].tobytes(), inv.astype("u4" if len(u) > 65535 else "u2").tobytes(), (h[i] & U64(0xFFFFFFFF)).astype("u4").tobytes()))
+            for b, m, n in tk.runs(q[o]):
+                i = o[m:n]
+                u, inv = np.unique(x[i], return_inverse=True)
+                rows.append((b, keys[u].tobytes(), s[u].tobytes(), inv.astype("u4" if len(u) > 65535 else "u2").tobytes(), (h[i] & U64(0xFFFFFFFF)).astype("u4").tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] + [pa.binary()] * 4)], ["bucket", "keys", "sig", "doc", "h"])
 
@@ -259,12 +257,16 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     """Exact bitmaps over the tokens that at least two of the sets hold; other tokens make no overlap."""
     own = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     token, inv, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, U64), return_inverse=True, return_counts=True)
+    del token
     number = np.cumsum(n > 1) - 1
     keep = n[inv] > 1
     words = max(1, -(-int((n > 1).sum()) // 64))
     out = np.zeros((len(sets), words), U64)
-    bit = number[inv[keep]]
-    np.bitwise_or.at(out, (own[keep], bit >> 6), U64(1) << (bit & 63).astype(U64))
+    bit, own = number[inv[keep]], own[keep]
+    del inv, keep
+    for at in range(0, len(bit), 1 << 18):  # in runs, as the indexed update makes copies
+        b = bit[at : at + (1 << 18)]
+        np.bitwise_or.at(out, (own[at : at + (1 << 18)], b >> 6), U64(1) << (b & 63).astype(U64))
     return out
 
 

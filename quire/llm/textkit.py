@@ -182,6 +182,13 @@ def group_ids(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1]))) if len(s) else np.zeros(0, np.int64)
 
 
+def runs(x: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, start, stop) of the runs of equal values of a sorted array."""
+    if len(x):
+        s = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+        yield from zip(x[s].tolist(), s.tolist(), np.append(s[1:], len(x)).tolist())
+
+
 def squeeze(x: np.ndarray) -> bytes:
     """Numbers below 2**32, byte planes apart, compressed."""
     raw = x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
