@@ -116,7 +116,7 @@ def _brute_lm(docs, held):
         by = collections.defaultdict(list)
         for g, m in c[level + 1].items():
             by[g[:-1]].append((g[-1], m))
-        q = lambda g, w: 2.0 ** float(np.float16(np.log2(par(g, w))))
+        q = lambda g, w: 2.0 ** (float(np.rint(-4 * np.log2(par(g, w)))) / -4)
         return {g for g, l in by.items() if c[level][g] >= suffix_lm.MIN_COUNT and sum(m * (math.log(m - 1 + mu * q(g, w)) - math.log(c[level][g] - 1 + mu) - math.log(q(g, w))) for w, m in l) >= suffix_lm.MIN_GAIN}
 
     k1 = keep(1, lambda g, w: p0(w))
