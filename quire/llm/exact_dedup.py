@@ -7,10 +7,11 @@ text but a small part shuffled:
    equal anchors. Per anchor only two hashes travel: of the k-gram, and of its context, which is all bytes that a stretch holding
    the anchor can reach. They are first reduced within the task to one document per context.
 2. Contexts that occur as a whole in a smaller document are removed as a whole. Of anchors that are shared but whose contexts differ,
-   one representative of each context is kept.
+   one representative of each context is kept, and the other places of that context (they have the same id) travel along with it.
 3. The bytes of those contexts are fetched and brought together by anchor. A suffix array is built of them by two-stage sorting:
    only suffixes smaller than their successors are sorted directly, the rest are induced by scanning the buckets of first bytes.
-   Adjacent common prefixes then tell which stretches are equal, and the smallest document of each.
+   Adjacent common prefixes then tell which stretches are equal, and the smallest document of each. What is found in a
+   representative holds for all places of its context.
 
 Anchors that a bounded sample shows to be in many documents are not grouped by k-gram: their stretches travel one by one, so that no
 group is large. The sample decides only how work is split, never what is removed.
@@ -184,6 +185,12 @@ def anchors(p: tk.Piece, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
     return at, h[at], doc
 
 
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each start, n of each, one range after the other."""
+    n = n.astype(np.int64)
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def _least_per_group(h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each entry the smallest id among entries of equal hash."""
     order, heads = tk.group_ids(h)
@@ -275,12 +282,15 @@ def _emit(d: DataFrame, buckets: int, parts: int, length: int, gram: int, hot: n
     return d.mapInArrow(run, ENTRY)
 
 
-DECIDED = "kind int, part int, keys binary, a binary, b binary, gram binary, ids binary"
+DECIDED = "kind int, part int, keys binary, a binary, b binary, gram binary, ids binary, more binary, also binary, at binary"
 _DECIDED = [x.split(" ") for x in DECIDED.split(", ")]
 
 
 def _decide(entries: DataFrame, parts: int) -> DataFrame:
-    """Per bucket: intervals found in smaller documents, there or before (kind 2), and the representatives of contexts that share an anchor (kind 3)."""
+    """Per bucket: intervals found in smaller documents, there or before (kind 2), and the representatives of contexts that share an anchor (kind 3).
+
+    more: how many other places have the context of each representative; also, at: the documents and positions of those.
+    """
 
     def run(t: pa.Table) -> pa.Table:
         sent = t.select([n for n, _ in _ENTRY]).to_pylist()
@@ -299,25 +309,30 @@ def _decide(entries: DataFrame, parts: int) -> DataFrame:
             known = least < ids
             rows += [dict(kind=2, part=q, keys=k, a=s, b=e) for q, k, s, e in _span_rows(key[known], a[known], b[known], parts)]
             if kind == 0:
-                # one of each context, where its anchor is in other documents too
+                # one of each context, where its anchor is in other documents too; a context at the edge of a text can have several anchors
                 i = np.flatnonzero(~known)
-                o = i[np.lexsort((ids[i], h[i]))]
-                o = o[np.concatenate(([True], h[o][1:] != h[o][:-1]))] if len(o) else o
+                every = i[np.lexsort((a[i], key[i], gram[i], h[i]))]
+                new = np.concatenate(([True], (h[every][1:] != h[every][:-1]) | (gram[every][1:] != gram[every][:-1]))) if len(every) else np.zeros(0, bool)
+                head = np.flatnonzero(new)
+                count = np.diff(np.append(head, len(every))) - 1
+                o = every[head]
                 lo, hi = _least_per_group(gram[o], ids[o]), -_least_per_group(gram[o], -ids[o])
-                o = o[lo < hi]
+                o, head, count = o[lo < hi], head[lo < hi], count[lo < hi]
                 q = (key[o].view(np.uint64) % tk.U64(parts)).astype(np.int64)
-                o = o[np.argsort(q, kind="stable")]
+                by_part = np.argsort(q, kind="stable")
+                o, head, count = o[by_part], head[by_part], count[by_part]
                 q = np.sort(q)
                 u, s = np.unique(q, return_index=True)
                 for x, m, n in zip(u, s, np.append(s[1:], len(q))):
                     j = o[m:n]
-                    rows.append(dict(kind=3, part=int(x), keys=key[j].astype("i8").tobytes(), a=a[j].astype("u4").tobytes(), b=b[j].astype("u4").tobytes(), gram=gram[j].astype("u4").tobytes(), ids=ids[j].astype("i8").tobytes()))
+                    rest = every[_ranges(head[m:n] + 1, count[m:n])]
+                    rows.append(dict(kind=3, part=int(x), keys=key[j].astype("i8").tobytes(), a=a[j].astype("u4").tobytes(), b=b[j].astype("u4").tobytes(), gram=gram[j].astype("u4").tobytes(), ids=ids[j].astype("i8").tobytes(), more=count[m:n].astype("u4").tobytes(), also=key[rest].astype("i8").tobytes(), at=a[rest].astype("u4").tobytes()))
         return pa.Table.from_batches([_batch(rows, _DECIDED)])
 
     return entries.groupBy("bucket").applyInArrow(run, DECIDED)
 
 
-CONTEXT = "bucket int, keys binary, ids binary, a binary, n binary, gram binary, bytes binary"
+CONTEXT = "bucket int, keys binary, ids binary, a binary, n binary, gram binary, bytes binary, more binary, also binary, at binary"
 _CONTEXT = [x.split(" ") for x in CONTEXT.split(", ")]
 
 
@@ -328,7 +343,8 @@ def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int) -> DataFr
         rows = []
         w = wanted.to_pylist()
         if w and texts.num_rows:
-            key, ids, a, b, gram = (np.concatenate([np.frombuffer(r[c], k) for r in w]) for c, k in (("keys", "i8"), ("ids", "i8"), ("a", "u4"), ("b", "u4"), ("gram", "u4")))
+            key, ids, a, b, gram, more, also, at = (np.concatenate([np.frombuffer(r[c], k) for r in w]) for c, k in (("keys", "i8"), ("ids", "i8"), ("a", "u4"), ("b", "u4"), ("gram", "u4"), ("more", "u4"), ("also", "i8"), ("at", "u4")))
+            rest = np.cumsum(more, dtype=np.int64) - more
             here = np.asarray(texts.column("key").combine_chunks()).astype(np.int64)
             o = np.argsort(here, kind="stable")
             row = o[np.minimum(np.searchsorted(here[o], key), len(o) - 1)]
@@ -343,9 +359,10 @@ def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int) -> DataFr
                 for x in np.unique(q):
                     i, j = np.searchsorted(q, x), np.searchsorted(q, x, side="right")
                     k = n[i:j]
-                    pos = np.repeat(s[i:j] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())
+                    pos = _ranges(s[i:j], k)
                     m = mine[i:j]
-                    rows.append(dict(bucket=int(x), keys=key[m].tobytes(), ids=ids[m].tobytes(), a=a[m].tobytes(), n=k.astype("u1").tobytes(), gram=gram[m].tobytes(), bytes=p.buf[pos].tobytes()))
+                    e = _ranges(rest[m], more[m])
+                    rows.append(dict(bucket=int(x), keys=key[m].tobytes(), ids=ids[m].tobytes(), a=a[m].tobytes(), n=k.astype("u1").tobytes(), gram=gram[m].tobytes(), bytes=p.buf[pos].tobytes(), more=more[m].tobytes(), also=also[e].tobytes(), at=at[e].tobytes()))
         return pa.Table.from_batches([_batch(rows, _CONTEXT)])
 
     return d.withColumn("part", part_of(parts)).groupBy("part").cogroup(decided.where("kind = 3").groupBy("part")).applyInArrow(run, CONTEXT)
@@ -356,8 +373,9 @@ def _compare(contexts: DataFrame, parts: int, length: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         w = t.to_pylist()
-        key, ids, a, n, gram, text = (np.concatenate([np.frombuffer(r[c], k) for r in w]) for c, k in (("keys", "i8"), ("ids", "i8"), ("a", "u4"), ("n", "u1"), ("gram", "u4"), ("bytes", "u1")))
+        key, ids, a, n, gram, text, more, also, at = (np.concatenate([np.frombuffer(r[c], k) for r in w]) for c, k in (("keys", "i8"), ("ids", "i8"), ("a", "u4"), ("n", "u1"), ("gram", "u4"), ("bytes", "u1"), ("more", "u4"), ("also", "i8"), ("at", "u4")))
         n = n.astype(np.int64)
+        rest = np.cumsum(more, dtype=np.int64) - more
         # whole anchor groups at a time, some megabytes each
         o = np.argsort(gram, kind="stable")
         starts = np.concatenate(([0], np.cumsum(n)))[:-1]
@@ -386,8 +404,14 @@ def _compare(contexts: DataFrame, parts: int, length: int) -> DataFrame:
                 h = np.flatnonzero(head)
                 least = np.repeat(np.minimum.reduceat(ids[m[c]], h), np.diff(np.append(h, len(sa))))
                 hit = least < ids[m[c]]
-                pos = a[m[c[hit]]].astype(np.int64) + sa[hit] - s[c[hit]]
-                found.append((key[m[c[hit]]], pos, pos + length))
+                # what is found in a context overlaps, so it is one interval; it holds at every place of the context
+                order, h = tk.group_ids(m[c[hit]])
+                if len(h):
+                    off, r = (sa[hit] - s[c[hit]])[order], m[c[hit]][order][h]
+                    lo, hi = np.minimum.reduceat(off, h), np.maximum.reduceat(off, h) + length
+                    other, k = _ranges(rest[r], more[r]), more[r]
+                    x, y = np.concatenate((key[r], also[other])), np.concatenate((a[r], at[other])).astype(np.int64)
+                    found.append((x, y + np.concatenate((lo, np.repeat(lo, k))), y + np.concatenate((hi, np.repeat(hi, k)))))
             i = e
         rows = []
         if found:

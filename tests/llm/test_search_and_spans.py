@@ -109,6 +109,34 @@ def test_repeats_against_brute_force(spark, hot, monkeypatch):
     assert got == want
 
 
+def _removed(spark, docs, length=50):
+    import hashlib
+
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in exact_dedup.remove_repeats(table(spark, docs), length=length).collect()), key=str)
+    return got, sorted(((i, n, m, hashlib.sha256(b).hexdigest()) for i, n, m, b in _repeats(docs, length)), key=str)
+
+
+def test_every_place_of_a_context_is_compared(spark):
+    rng = random.Random(9)
+    line, other = ("".join(rng.choice("abcdefghij ") for _ in range(60)) for _ in range(2))
+    noise = lambda n: "".join(rng.choice("klmnopqrst ") for _ in range(n))
+    docs = [(1, noise(70) + line + noise(70)), (2, line * 30), (3, "Q" * 60), (4, "Q" * 3000), (5, noise(9) + other + noise(9)), (6, "".join(other + "=" * 40 for _ in range(20)))]
+    docs += [(6, "".join(other + "=" * 40 for _ in range(7)) + "."), (None, line * 5 + "!"), (None, line * 9 + "?" + "Q" * 500)]
+    got, want = _removed(spark, docs)
+    assert got == want and {n for i, _, n, _ in got if i == 2} == {1800} and {n for i, _, n, _ in got if i == 4} == {3000}
+
+
+def test_short_texts_are_compared_by_all_their_anchors(spark):
+    rng = random.Random(10)
+    noise = lambda n: "".join(rng.choice("klmnopqrst ") for _ in range(n))
+    docs = []
+    for i in range(40):  # the context of every anchor of the second is the whole text; the first shares one end of it
+        t = noise(58)
+        docs += [(i, noise(40) + (t[:51] if i % 2 else t[7:]) + noise(40)), (100 + i, t)]
+    got, want = _removed(spark, docs)
+    assert got == want and sum(n for _, _, n, _ in got) >= 40 * 51
+
+
 def test_repeats_in_nothing(spark):
     assert exact_dedup.remove_repeats(table(spark, [])).count() == 0
     r = exact_dedup.remove_repeats(table(spark, ODD).selectExpr("*", "1 AS key", "2 AS part"), texts_too=True).collect()
