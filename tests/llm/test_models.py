@@ -116,8 +116,7 @@ def _brute_lm(docs, held):
         by = collections.defaultdict(list)
         for g, m in c[level + 1].items():
             by[g[:-1]].append((g[-1], m))
-        q = lambda g, w: 2.0 ** (float(np.rint(-4 * np.log2(par(g, w)))) / -4)
-        return {g for g, l in by.items() if c[level][g] >= suffix_lm.MIN_COUNT and sum(m * (math.log(m - 1 + mu * q(g, w)) - math.log(c[level][g] - 1 + mu) - math.log(q(g, w))) for w, m in l) >= suffix_lm.MIN_GAIN}
+        return {g for g, l in by.items() if c[level][g] >= suffix_lm.MIN_COUNT and sum(m * (math.log(m - 1 + mu * par(g, w)) - math.log(c[level][g] - 1 + mu) - math.log(par(g, w))) for w, m in l) >= suffix_lm.MIN_GAIN}
 
     k1 = keep(1, lambda g, w: p0(w))
     p1 = lambda a, w: (c[2][(a, w)] + mu * p0(w)) / (c[1][(a,)] + mu)
@@ -155,6 +154,35 @@ def test_suffix_tree_against_brute_force(spark):
     assert suffix_lm.suffix_tree_scores(table(spark, []), F.lit(False)).count() == 0
 
 
+def test_frequent_contexts_are_tested_with_exact_probabilities(spark):
+    kept = set()
+    for n, skew in ((11, 0.0), (7, 0.06)):  # of equal next words, and of a little different ones
+        rng = random.Random(n)
+        docs = []
+        for i in range(40):
+            w = [rng.randrange(n)]
+            for _ in range(800):
+                w.append((w[-1] + 1) % n if rng.random() < skew else rng.randrange(n))
+            docs.append((i, " ".join(f"w{x}" for x in w)))
+        pairs, ones = collections.Counter(), collections.Counter()
+        tok = [t.split() + [None] for _, t in docs]
+        for t in tok:
+            ones.update(t)
+            pairs.update(zip(t, t[1:]))
+        total, v = sum(ones.values()), len(ones)
+        p0 = {w: (c + 1) / (total + v + 1) for w, c in ones.items()}
+        gain = collections.Counter()
+        for (a, w), m in pairs.items():
+            gain[a] += m * (math.log(m - 1 + suffix_lm.MU * p0[w]) - math.log(ones[a] - 1 + suffix_lm.MU) - math.log(p0[w]))
+        states = {a for a, g in gain.items() if g >= suffix_lm.MIN_GAIN}
+        kept.add(len(states))
+        got = {x["doc_id"]: x["score"] for x in suffix_lm.suffix_tree_scores(table(spark, docs), F.lit(False), depth=1).collect()}
+        for (i, _), t in zip(docs, tok):
+            want = sum(math.log10((pairs[(a, w)] + suffix_lm.MU * p0[w]) / (ones[a] + suffix_lm.MU) if a in states else p0[w]) for a, w in zip([""] + t, t))
+            assert math.isclose(got[i], want, rel_tol=1e-9)
+    assert min(kept) == 0 and max(kept) == 7
+
+
 def test_base_spans_against_regexes():
     rng = random.Random(6)
     bits = ["a.b@c.de", "x@y", "1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (499) 555-6503", "+12", "é", " ", "\n", ".", "@", "9", "-", "+49 30 123456.", "word,"]
