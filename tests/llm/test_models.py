@@ -183,6 +183,30 @@ def test_frequent_contexts_are_tested_with_exact_probabilities(spark):
     assert min(kept) == 0 and max(kept) == 7
 
 
+def test_next_words_with_like_hashes_stay_apart():
+    def unmix(y):
+        y ^= (y >> 31) ^ (y >> 62)
+        y = y * pow(0x94D049BB133111EB, -1, 1 << 64) % (1 << 64)
+        y ^= (y >> 27) ^ (y >> 54)
+        y = y * pow(0xBF58476D1CE4E5B9, -1, 1 << 64) % (1 << 64)
+        return y ^ (y >> 30) ^ (y >> 60)
+
+    a = 12345  # two words whose pairs with it agree in the upper 32 and the lowest 8 bits
+    b, c = ((unmix(h) - a * int(suffix_lm.K)) % (1 << 64) for h in (0xABCDEF0100000101, 0xABCDEF0100000201))
+    pairs = tk.mix(np.array([a], np.uint64) * suffix_lm.K + np.array([b, c], np.uint64))
+    assert pairs.tolist() == [0xABCDEF0100000101, 0xABCDEF0100000201]
+    text = [0, 1] * 9 + [0, 2] * 4
+    row = dict(part=0, train=np.ones(1, bool).tobytes(), lengths=tk.squeeze(np.array([len(text)])), words=np.array([a, b, c], np.uint64).tobytes(), places=tk.squeeze(np.array(text)))
+    table_of = lambda rows: suffix_lm._table(rows, suffix_lm.ASK)
+    walk = suffix_lm.Walk(row, [], {}, 1)
+    back = [r for r in suffix_lm.add_words(table_of(walk.ask(0))).to_pylist() if r["kind"] >= 0]
+    stats = {"n": 26, "v": 3, "before": np.zeros(1, np.int64), "words": 3}
+    walk = suffix_lm.Walk(row, back, stats, 1)
+    walk.root()
+    back += suffix_lm.test_contexts(table_of([r | {"total": np.zeros(len(r["total"]) // 8, "i8").tobytes()} for r in walk.ask(1)]), 1).to_pylist()
+    assert sorted(suffix_lm.Walk(row, [r for r in back if r["kind"] >= 0], stats, 1).counts(1).tolist()) == [3, 4, 9, 9]  # (c, a), (a, c), (a, b), (b, a)
+
+
 def test_base_spans_against_regexes():
     rng = random.Random(6)
     bits = ["a.b@c.de", "x@y", "1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (499) 555-6503", "+12", "é", " ", "\n", ".", "@", "9", "-", "+49 30 123456.", "word,"]
