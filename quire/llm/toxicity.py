@@ -24,6 +24,7 @@ from . import textkit as tk
 MAX_POSITIVE = 5_000
 MAX_UNLABELLED = 12_000
 MAX_FEATURES = 600
+LEAST = 5  # positive texts that a feature must be in, at every size of sample
 BITS = 22  # features are hashed to this many bits
 SHARPNESS = 2.0  # of the scores about the threshold
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
@@ -129,7 +130,7 @@ def fit_arrays(p_lists: list[np.ndarray], u_lists: list[np.ndarray], n_features:
     rp, ru = dp / np_, (du + 0.5) / (nu + 1)
     # one-sided bound of the log ratio of rates; features typical of positives only
     bound = np.log(np.maximum(rp, 1e-12) / ru) - 1.64 * np.sqrt(1 / np.maximum(dp, 1) + 1 / np.maximum(du, 1))
-    chosen = np.flatnonzero((dp >= 5) & (bound > np.log(2.5)))
+    chosen = np.flatnonzero((dp >= LEAST) & (bound > np.log(2.5)))
     chosen = np.sort(chosen[np.argsort(-(bound * dp)[chosen], kind="stable")[:MAX_FEATURES]])
     slot = np.full(n_features, -1)
     slot[chosen] = np.arange(len(chosen))
@@ -180,8 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, max_pos
     sample = few.withColumn("positive", F.lit(True)).unionByName(some.withColumn("positive", F.lit(False)))
     # at most max_positive + max_unlabelled ids: bounded, so it may be broadcast
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").where("text IS NOT NULL")
-    least = max(5, few.count() // 250)
-    counts = _document_counts(rows.where("positive")).where(F.col("n") >= least).select("feature").toPandas()
+    counts = _document_counts(rows.where("positive")).where(F.col("n") >= LEAST).select("feature").toPandas()
     candidates = np.sort(counts["feature"].to_numpy(np.int64))
     del counts
     if not len(candidates):

@@ -42,6 +42,20 @@ def test_nnpu_on_held_out_rows(spark):
     assert sum(p and t for p, t in hit) >= 0.8 * sum(t for _, t in hit) and sum(p and not t for p, t in hit) <= 0.05 * len(hit)
 
 
+def test_rare_words_count_in_large_samples(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)]
+    docs = []
+    for i in range(60000):
+        w = [rng.choice(words) for _ in range(8)]
+        if i < 2600:  # positive; one word is in 8 of them only
+            w[3] = "zrarest" if i % 325 == 0 else "zidiot"
+        docs.append((i, " ".join(w)))
+    m = toxicity.fit(table(spark, docs), table(spark, [(i, 1) for i in range(2600)], "doc_id long, toxic int"))
+    r = {x["doc_id"]: x["score"] for x in toxicity.score(table(spark, [(1, f"{words[0]} {words[1]} zrarest {words[2]}"), (2, f"{words[0]} {words[1]} {words[3]} {words[2]}")]), m).collect()}
+    assert r[1] > r[2]
+
+
 def test_risk_is_non_negative_pu():
     rng = np.random.default_rng(0)
     n = 2000
