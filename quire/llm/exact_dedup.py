@@ -191,6 +191,11 @@ def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
+def _width(length: int, gram: int) -> str:
+    """The type that holds the lengths of contexts."""
+    return "u1" if 2 * length - gram < 256 else "u2"
+
+
 def _least_per_group(h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each entry the smallest id among entries of equal hash."""
     order, heads = tk.group_ids(h)
@@ -275,7 +280,7 @@ def _emit(d: DataFrame, buckets: int, parts: int, length: int, gram: int, hot: n
                 for q, m, n in tk.runs(at_bucket[o]):
                     i = o[m:n]
                     u, inv = np.unique(doc[i], return_inverse=True)
-                    rows.append(dict(kind=kind, bucket=q, part=-1, keys=keys[u].astype("i8").tobytes(), ids=ids[u].astype("i8").tobytes(), doc=tk.squeeze(inv), h=x[i].tobytes(), gram=g[i].astype("u4").tobytes(), a=tk.squeeze(a[i]), b=(b[i] - a[i]).astype("u1").tobytes()))
+                    rows.append(dict(kind=kind, bucket=q, part=-1, keys=keys[u].astype("i8").tobytes(), ids=ids[u].astype("i8").tobytes(), doc=tk.squeeze(inv), h=x[i].tobytes(), gram=g[i].astype("u4").tobytes(), a=tk.squeeze(a[i]), b=(b[i] - a[i]).astype(_width(length, gram)).tobytes()))
                 if rows:
                     yield _batch(rows, _ENTRY)
 
@@ -286,7 +291,7 @@ DECIDED = "kind int, part int, keys binary, a binary, b binary, gram binary, ids
 _DECIDED = [x.split(" ") for x in DECIDED.split(", ")]
 
 
-def _decide(entries: DataFrame, parts: int) -> DataFrame:
+def _decide(entries: DataFrame, parts: int, width: str) -> DataFrame:
     """Per bucket: intervals found in smaller documents, there or before (kind 2), and the representatives of contexts that share an anchor (kind 3).
 
     more: how many other places have the context of each representative; also, at: the documents and positions of those.
@@ -300,7 +305,7 @@ def _decide(entries: DataFrame, parts: int) -> DataFrame:
             for r in sent:
                 if r["kind"] == kind:
                     doc = tk.unsqueeze(r["doc"])
-                    cols.append((np.frombuffer(r["keys"], "i8")[doc], np.frombuffer(r["ids"], "i8")[doc], np.frombuffer(r["h"], "u8"), np.frombuffer(r["gram"], "u4"), tk.unsqueeze(r["a"]), np.frombuffer(r["b"], "u1")))
+                    cols.append((np.frombuffer(r["keys"], "i8")[doc], np.frombuffer(r["ids"], "i8")[doc], np.frombuffer(r["h"], "u8"), np.frombuffer(r["gram"], "u4"), tk.unsqueeze(r["a"]), np.frombuffer(r["b"], width)))
             if not cols:
                 continue
             key, ids, h, gram, a, b = (np.concatenate(c) for c in zip(*cols))
@@ -336,7 +341,7 @@ CONTEXT = "bucket int, keys binary, ids binary, a binary, n binary, gram binary,
 _CONTEXT = [x.split(" ") for x in CONTEXT.split(", ")]
 
 
-def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int) -> DataFrame:
+def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int, width: str) -> DataFrame:
     """The bytes of the wanted contexts, by anchor bucket."""
 
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
@@ -362,18 +367,18 @@ def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int) -> DataFr
                     pos = _ranges(s[i:j], k)
                     m = mine[i:j]
                     e = _ranges(rest[m], more[m])
-                    rows.append(dict(bucket=int(x), keys=key[m].tobytes(), ids=ids[m].tobytes(), a=a[m].tobytes(), n=k.astype("u1").tobytes(), gram=gram[m].tobytes(), bytes=p.buf[pos].tobytes(), more=more[m].tobytes(), also=also[e].tobytes(), at=at[e].tobytes()))
+                    rows.append(dict(bucket=int(x), keys=key[m].tobytes(), ids=ids[m].tobytes(), a=a[m].tobytes(), n=k.astype(width).tobytes(), gram=gram[m].tobytes(), bytes=p.buf[pos].tobytes(), more=more[m].tobytes(), also=also[e].tobytes(), at=at[e].tobytes()))
         return pa.Table.from_batches([_batch(rows, _CONTEXT)])
 
     return d.withColumn("part", part_of(parts)).groupBy("part").cogroup(decided.where("kind = 3").groupBy("part")).applyInArrow(run, CONTEXT)
 
 
-def _compare(contexts: DataFrame, parts: int, length: int) -> DataFrame:
+def _compare(contexts: DataFrame, parts: int, length: int, width: str) -> DataFrame:
     """Intervals that suffix arrays of the contexts find in smaller documents."""
 
     def run(t: pa.Table) -> pa.Table:
         w = t.to_pylist()
-        key, ids, a, n, gram, text, more, also, at = (np.concatenate([np.frombuffer(r[c], k) for r in w]) for c, k in (("keys", "i8"), ("ids", "i8"), ("a", "u4"), ("n", "u1"), ("gram", "u4"), ("bytes", "u1"), ("more", "u4"), ("also", "i8"), ("at", "u4")))
+        key, ids, a, n, gram, text, more, also, at = (np.concatenate([np.frombuffer(r[c], k) for r in w]) for c, k in (("keys", "i8"), ("ids", "i8"), ("a", "u4"), ("n", width), ("gram", "u4"), ("bytes", "u1"), ("more", "u4"), ("also", "i8"), ("at", "u4")))
         n = n.astype(np.int64)
         rest = np.cumsum(more, dtype=np.int64) - more
         # whole anchor groups at a time, some megabytes each
@@ -478,9 +483,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("8 <= gram <= length <= 200")
     d = keyed_docs(docs, id_col, text_col)
     parts, buckets = buckets_for(docs, 4 << 20), buckets_for(docs, 4 << 20)
-    hot = hot_anchors(d, length, gram)
-    decided = settle(_decide(_emit(d, buckets, parts, length, gram, hot), parts), "anchors-decided")
-    more = settle(_compare(_fetch(d, decided, parts, buckets), parts, length), "anchors-compared")
+    hot, width = hot_anchors(d, length, gram), _width(length, gram)
+    decided = settle(_decide(_emit(d, buckets, parts, length, gram, hot), parts, width), "anchors-decided")
+    more = settle(_compare(_fetch(d, decided, parts, buckets, width), parts, length, width), "anchors-compared")
     spans = decided.where("kind = 2").select("part", "keys", "a", "b").unionByName(more)
     return _cut_out(d, spans, parts, texts_too).drop("key")
 

@@ -137,6 +137,14 @@ def test_short_texts_are_compared_by_all_their_anchors(spark):
     assert got == want and sum(n for _, _, n, _ in got) >= 40 * 51
 
 
+def test_repeats_of_long_lengths(spark):
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = [noise(n) for n in (199, 200, 260, 420)]
+    got, want = _removed(spark, [(i, noise(300) + shared[i % 4] + noise(300)) for i in range(16)], length=200)
+    assert got == want and sum(n for _, _, n, _ in got) >= 9 * 200
+
+
 def test_repeats_in_nothing(spark):
     assert exact_dedup.remove_repeats(table(spark, [])).count() == 0
     r = exact_dedup.remove_repeats(table(spark, ODD).selectExpr("*", "1 AS key", "2 AS part"), texts_too=True).collect()
