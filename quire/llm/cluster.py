@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -12,9 +13,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; where that is unset (tests), one of our own."""
+    """The folder that all executors share, from spark.checkpoint.dir; where that is unset, one of our own in local mode (tests), an error elsewhere."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         at = "file://" + tempfile.mkdtemp(prefix="quire-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -28,18 +32,35 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.4)
 
 
+def own_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{shared_dir(spark)}/quire/{name}-{uuid.uuid4().hex}"
+    p, fs = _file(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def _file(spark: SparkSession, path: str) -> tuple:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that `settle` wrote and that nothing will read again."""
+    p, fs = _file(df.sparkSession, df._settled_at)
+    fs.delete(p, True)
+
+
 def settle(df: DataFrame, name: str, free: bool = True) -> DataFrame:
     """Cut the lineage: write df to a table in the shared folder and read that. Executors may be lost afterwards. With `free`, shuffle files nobody refers to any longer are released.
 
-    The tables are deleted when the application ends.
+    The tables are removed by `discard`, or when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quire/{name}-{uuid.uuid4().hex}"
+    path = own_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
+    out._settled_at = path
     if free:
         release(spark)
     return out
@@ -59,6 +80,31 @@ def buckets_for(df: DataFrame, each: int = 12 << 20, least: int = 4, most: int =
     return max(least, min(most, -(-input_bytes(df) // each)))
 
 
+def new_names(df: DataFrame, *stems: str) -> list[str]:
+    """A column name for each stem that df does not have, whatever the case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for s in stems:
+        while s.lower() in taken:
+            s += "_"
+        taken.add(s.lower())
+        out.append(s)
+    return out
+
+
+def places(df: DataFrame) -> DataFrame:
+    """df, which is sorted across its partitions, with `place`: the number of the row from 0. Read df from a settled table; only the sizes of its partitions are joined back."""
+    spark = df.sparkSession
+    at = df.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    at = settle(at, "placed", free=False)
+    sizes = sorted((r[0], r[1]) for r in at.groupBy("__p").count().collect())  # one row for each partition
+    before, rows = 0, []
+    for p, n in sizes:
+        rows.append((p, before))
+        before += n
+    upto = spark.createDataFrame(rows, "__p int, __before long")
+    return at.join(F.broadcast(upto), "__p").withColumn("place", F.col("__before") + F.col("__i")).drop("__p", "__i", "__before")
+
+
 def keyed_docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text, key: rows that agree in id and text share a key."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

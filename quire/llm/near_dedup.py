@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .cluster import buckets_for, keyed_docs, part_of, settle
+from .cluster import buckets_for, keyed_docs, new_names, part_of, settle
 from .graph import components
 
 SHINGLE = 5
@@ -433,13 +433,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns as they are, that have the smallest id of their component (nulls last); of rows that repeat one another in id and text one stays, unless they have no words."""
+    key, one, n = new_names(docs, "__key", "__one", "__n")
     groups = near_duplicates(docs, id_col, text_col)
-    keep = settle(groups.where("key = first_key").select(F.col("key").alias("__key"), (F.col("n_shingles") > 0).alias("__one")).distinct(), "kept", free=False)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    i = F.col(id_col).cast("long")
-    joined = docs.withColumn("__key", F.xxhash64(i.isNull(), i, text)).join(keep, "__key")
-    first = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    return joined.withColumn("__n", first).where(~F.col("__one") | (F.col("__n") == 1)).drop("__key", "__one", "__n")
+    keep = settle(groups.where("key = first_key").select(F.col("key").alias(key), (F.col("n_shingles") > 0).alias(one)).distinct(), "kept", free=False)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    i = F.col(f"`{id_col}`").cast("long")
+    joined = docs.withColumn(key, F.xxhash64(i.isNull(), i, text)).join(keep, key)
+    first = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    return joined.withColumn(n, first).where(~F.col(one) | (F.col(n) == 1)).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 SALTS = 16

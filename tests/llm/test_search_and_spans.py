@@ -19,35 +19,45 @@ def test_index_against_brute_force(spark):
     index = cluster.settle(decontam.build_index(d), "t")
     words = {i: decontam.item_words(t) for i, t in docs}
     phrases = {(i, tuple(w[k : k + 8])) for i, t in items for w in [decontam.item_words(t)] if w for k in range(max(1, len(w) - 7))}
-    for slop in (None, 3):
-        for r in decontam.search(index, items, slop=slop).collect():
-            w, hit, found = words[r["doc_id"]], set(), set()
-            for item, p in phrases:
-                if slop is None:
-                    at = [k for k in range(len(w) - len(p) + 1) if tuple(w[k : k + len(p)]) == p]
-                    hit |= {x for k in at for x in range(k, k + len(p))}
-                else:
-                    at = [k for k in range(len(w)) if set(p) <= set(w[k : k + len(p) + slop])]
-                found |= {str(item)} if at else set()
-            assert r["items"] == sorted(found), (slop, r["doc_id"])
-            if slop is None:
-                spans = r["spans"]
-                assert {x for k in range(0, len(spans), 2) for x in range(spans[k], spans[k + 1])} == hit
+    for r in decontam.search(index, items, slop=3).collect():
+        w, hit, found, near = words[r["doc_id"]], set(), set(), set()
+        for item, p in phrases:
+            at = [k for k in range(len(w) - len(p) + 1) if tuple(w[k : k + len(p)]) == p]
+            hit |= {x for k in at for x in range(k, k + len(p))}
+            found |= {str(item)} if at else set()
+            near |= {str(item)} if any(set(p) <= set(w[k : k + len(p) + 3]) for k in range(len(w))) else set()
+        spans = r["spans"]
+        assert (r["items"], r["near"]) == (sorted(found), sorted(near)) and found <= near
+        assert {x for k in range(0, len(spans), 2) for x in range(spans[k], spans[k + 1])} == hit
     whole = decontam.decontaminate(d, b).drop("spans")
     blocks = [list(x) for x in decontam.item_blocks(b, block_bytes=200)]
     assert len(blocks) > 1 and sum(map(len, blocks)) == len(items)
-    got, want = against_sql(spark, lambda documents, benchmark: decontam.decontaminate(documents, benchmark).drop("spans"), decontam.OP1_SQL, documents=d.where("doc_id < 1001"), benchmark=b)
-    assert len(got) == len(want) and whole.count() == len(docs)
+    got, want = against_sql(spark, lambda documents, benchmark: decontam.decontaminate(documents, benchmark, slop=decontam.SLOP).drop("spans"), decontam.OP1_SQL, documents=d.where("doc_id < 1001"), benchmark=b)
+    assert got == want and whole.count() == len(docs)
 
 
 def test_several_blocks_give_what_one_gives(spark, monkeypatch):
-    docs = table(spark, [(1, "a b c d"), (2, "c d e f"), (3, "x")])
+    docs = table(spark, [(1, "a b c d"), (2, "c d e f"), (3, "x"), (None, "a b"), (4, None)])
     items = table(spark, [(i, t) for i, t in enumerate(["a b", "c d", "e f", "b c d"])], "item_id long, text string")
-    one = sorted(map(tuple, decontam.decontaminate(docs, items).drop("spans").collect()))
+    run = lambda: sorted(map(tuple, decontam.decontaminate(docs, items, slop=1).collect()), key=str)
+    one = run()
     old = decontam.item_blocks
     monkeypatch.setattr(decontam, "item_blocks", lambda b: old(b, block_bytes=70))
-    assert sorted(map(tuple, decontam.decontaminate(docs, items).drop("spans").collect())) == one
-    assert [(r[0], r[2], r[3]) for r in one] == [(1, 4, 3), (2, 4, 2), (3, 0, 0)]
+    assert run() == one
+    assert [(r[0], r[2], r[3], r[5]) for r in one] == [(1, 4, 3, True), (2, 4, 2, True), (3, 0, 0, False), (4, 0, 0, False), (None, 2, 1, False)]
+
+
+def test_planted_passages_go_and_all_columns_stay(spark):
+    rng = random.Random(4)
+    noise = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    items = [(i, noise(30)) for i in range(5)]
+    part = lambda i, a, n: " ".join(items[i][1].split()[a : a + n])
+    docs = [(1, noise(40) + " " + part(0, 3, 8) + " " + noise(40)), (2, noise(60)), (3, noise(9) + " " + part(1, 0, 20) + " " + part(2, 9, 9)), (4, part(3, 0, 7)), (None, part(4, 1, 9)), (5, None), (5, None), (6, "")]
+    d, b = table(spark, docs).selectExpr("*", "'k' AS __key", "1 AS __KEY_", "2 AS segment"), table(spark, items, "item_id long, text string")
+    r = {x["doc_id"]: x for x in decontam.decontaminate(d, b).collect()}
+    assert [(r[i]["n_hit"], r[i]["n_items"], r[i]["contaminated"]) for i in (1, 2, 3, 4)] == [(8, 1, False), (0, 0, False), (29, 2, True), (0, 0, False)]
+    left = decontam.without_contaminated(d, b)
+    assert left.columns == d.columns and sorted(x["doc_id"] for x in left.collect()) == [2, 4, 5, 5, 6] and {x["__key"] for x in left.collect()} == {"k"}
 
 
 def test_decontamination_of_odd_rows(spark):
@@ -185,7 +195,8 @@ def test_near_duplicates_against_sql(spark, monkeypatch):
     d = table(spark, docs)
     got, want = against_sql(spark, lambda documents: near_dedup.near_duplicates(documents).drop("key", "first_key"), near_dedup.OP7_SQL, documents=d)
     assert got == want
-    kept = near_dedup.one_of_each(d.selectExpr("*", "1 AS key", "'z' AS __x")).collect()
+    kept = near_dedup.one_of_each(d.selectExpr("*", "1 AS key", "'z' AS __key", "3 AS __ONE", "4 AS __n")).collect()
+    assert {(r["key"], r["__key"], r["__ONE"], r["__n"]) for r in kept} == {(1, "z", 3, 4)}
     assert sorted(r["doc_id"] for r in kept) == sorted({r[0] for r in got})  # component_id comes first by name
 
 
