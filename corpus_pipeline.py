@@ -28,7 +28,7 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold passages of two or more benchmark items go."""
+    """Documents that hold any phrase of a benchmark item go."""
     return decontam.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
