@@ -105,6 +105,11 @@ def places(df: DataFrame) -> DataFrame:
     return at.join(F.broadcast(upto), "__p").withColumn("place", F.col("__before") + F.col("__i")).drop("__p", "__i", "__before")
 
 
+def by(df: DataFrame, n: int, *keys: str):
+    """df grouped by keys over n tasks, whatever spark.sql.shuffle.partitions says: n grows with the input, so a task's share does not."""
+    return df.repartition(n, *keys).groupBy(*keys)
+
+
 def keyed_docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text, key: rows that agree in id and text share a key."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from quire.llm import pii, quality, suffix_lm, toxicity
@@ -113,59 +114,82 @@ def test_quality_of_odd_rows(spark):
 
 
 def _brute_lm(docs, held):
+    """The model by its definition: contexts of any length, kept while they pass the test."""
     tr = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     tok = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(tr)) + [None] for _, t in docs]
-    c = [collections.Counter() for _ in range(4)]
-    for t, h in zip(tok, held):
-        if not h:
-            for j in range(len(t)):
-                for k in range(1, 4):
-                    if j + 1 >= k:
-                        c[k][tuple(t[j + 1 - k : j + 1])] += 1
-    n, v = sum(c[1].values()), len(c[1])
-    p0 = lambda w: (c[1][(w,)] + 1) / (n + v + 1)
-    mu = suffix_lm.MU
-
-    def keep(level, par):
-        by = collections.defaultdict(list)
-        for g, m in c[level + 1].items():
-            by[g[:-1]].append((g[-1], m))
-        return {g for g, l in by.items() if c[level][g] >= suffix_lm.MIN_COUNT and sum(m * (math.log(m - 1 + mu * par(g, w)) - math.log(c[level][g] - 1 + mu) - math.log(par(g, w))) for w, m in l) >= suffix_lm.MIN_GAIN}
-
-    k1 = keep(1, lambda g, w: p0(w))
-    p1 = lambda a, w: (c[2][(a, w)] + mu * p0(w)) / (c[1][(a,)] + mu)
-    k2 = {g for g in keep(2, lambda g, w: p1(g[1], w)) if (g[1],) in k1}
-    p2 = lambda g, w: (c[3][(*g, w)] + mu * p1(g[1], w)) / (c[2][g] + mu)
+    learn = [t for t, h in zip(tok, held) if not h]
+    ones = collections.Counter(w for t in learn for w in t)
+    n, v = sum(ones.values()), len(ones)
+    mu, states, counts, k = suffix_lm.MU, {}, {}, 0
+
+    def prob(before, w):
+        g, p = (), (ones[w] + 1) / (n + v + 1)
+        for j in range(1, len(before) + 1):
+            g = before[-j:]
+            if g not in states:
+                break
+            p = (counts[g][w] + mu * p) / (states[g] + mu)
+        return p
+
+    while True:
+        k += 1
+        by = collections.defaultdict(collections.Counter)
+        for t in learn:
+            for j in range(k, len(t)):
+                if k == 1 or tuple(t[j - k + 1 : j]) in states:
+                    by[tuple(t[j - k : j])][t[j]] += 1
+        new = {}
+        for g, c in by.items():
+            total = sum(c.values())
+            if total >= suffix_lm.MIN_COUNT and sum(m * (math.log(m - 1 + mu * (p := prob(g[1:], w))) - math.log(total - 1 + mu) - math.log(p)) for w, m in c.items()) >= suffix_lm.MIN_GAIN:
+                new[g] = total
+        if not new:
+            break
+        states |= new
+        counts |= {g: by[g] for g in new}
     out = []
     for t in tok:
-        base = sum(math.log10(p0(w)) for w in t)
-        s = sum(math.log10(p2((t[j - 2], t[j - 1]), w) if j > 1 and (t[j - 2], t[j - 1]) in k2 else p1(t[j - 1], w) if j and (t[j - 1],) in k1 else p0(w)) for j, w in enumerate(t))
-        out.append((len(t), sum(c[1][(w,)] > 0 for w in t), n, base, s))
-    return out, len(k1), len(k2)
+        base = sum(math.log10((ones[w] + 1) / (n + v + 1)) for w in t)
+        out.append((len(t), sum(ones[w] > 0 for w in t), n, base, sum(math.log10(prob(tuple(t[:j]), w)) for j, w in enumerate(t))))
+    return out, k - 1
 
 
-def test_suffix_tree_against_brute_force(spark):
+def _lm_corpus():
     rng = random.Random(2)
     docs = []
-    for i in range(300):
+    for i in range(240):
         w = [rng.choice("abcdefghij")]
         for _ in range(rng.randrange(0, 60)):
             w.append(chr(ord("a") + (ord(w[-1]) - 96 + (0 if rng.random() < 0.7 else rng.randrange(10))) % 10))
         docs.append((i, " ".join(w) + (" Rare%d" % i if i % 9 == 0 else "")))
-    docs += [(None, "a b"), (400, None), (401, "")]
+    for i in range(240, 400):  # what ends a run of seven is told by what begins it
+        docs.append((i, " ".join(f"{'AC'[x]} {'x ' * 7}{'BD'[x]} " + " ".join(rng.choice("mnop") for _ in range(rng.randrange(3))) for x in (rng.randrange(2) for _ in range(5)))))
+    return docs + [(None, "a b"), (400, None), (401, ""), (402, docs[250][1]), (402, docs[250][1])]
+
+
+@pytest.mark.parametrize("hot", [suffix_lm.HOT, 1000, 25])
+def test_suffix_tree_against_brute_force(spark, hot, monkeypatch):
+    docs = _lm_corpus()
+    monkeypatch.setattr(suffix_lm, "EXTRA", (0, 0, 2, 1) if hot == 1000 else (0, 0, 4, 12))
+    monkeypatch.setattr(suffix_lm, "PART_BYTES", 3000)
     held = [i is None or zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in docs]
-    want, k1, k2 = _brute_lm(docs, held)
-    assert k1 and k2
-    got = suffix_lm.suffix_tree_scores(table(spark, docs).selectExpr("*", "1 AS part", "2 AS train"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2).collect()
-    by = {(x["doc_id"], x["n_tokens"]): x for x in got}
+    want, depth = _brute_lm(docs, held)
+    assert depth >= 8
+    got = suffix_lm.suffix_tree_scores(table(spark, docs).selectExpr("*", "1 AS part", "2 AS train"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2, hot=hot).collect()
     assert len(got) == len(docs)
-    for (i, _), h, (n, known, total, base, s) in zip(docs, held, want):
-        x = by[(i, n)]
-        assert (x["held_out"], x["n_known"], x["train_tokens"]) == (h, known, total)
-        assert math.isclose(x["base_score"], base, rel_tol=1e-9) and math.isclose(x["score"], s, rel_tol=1e-4)
+    row = lambda i, h, x: (str(i), h, *x[:3])
+    told = sorted((row(i, h, x) + x[3:] for (i, _), h, x in zip(docs, held, want)), key=lambda r: (r[:5], -r[6]))
+    found = sorted((row(x["doc_id"], x["held_out"], (x["n_tokens"], x["n_known"], x["train_tokens"])) + (x["base_score"], x["score"]) for x in got), key=lambda r: (r[:5], -r[6]))
+    for a, b in zip(told, found):
+        assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=1e-6), (a, b)
     out = [(b, s) for h, (*_, b, s) in zip(held, want) if h]
     assert sum(s for _, s in out) > sum(b for b, _ in out)  # better on what it has not seen
+
+
+def test_suffix_tree_of_nothing(spark):
     assert suffix_lm.suffix_tree_scores(table(spark, []), F.lit(False)).count() == 0
+    r = suffix_lm.suffix_tree_scores(table(spark, ODD), F.lit(True)).collect()  # all held out
+    assert len(r) == len(ODD) and all(x["train_tokens"] == 0 and x["score"] == x["base_score"] == 0 for x in r)
 
 
 def test_frequent_contexts_are_tested_with_exact_probabilities(spark):
@@ -178,47 +202,17 @@ def test_frequent_contexts_are_tested_with_exact_probabilities(spark):
             for _ in range(800):
                 w.append((w[-1] + 1) % n if rng.random() < skew else rng.randrange(n))
             docs.append((i, " ".join(f"w{x}" for x in w)))
-        pairs, ones = collections.Counter(), collections.Counter()
-        tok = [t.split() + [None] for _, t in docs]
-        for t in tok:
-            ones.update(t)
-            pairs.update(zip(t, t[1:]))
-        total, v = sum(ones.values()), len(ones)
-        p0 = {w: (c + 1) / (total + v + 1) for w, c in ones.items()}
-        gain = collections.Counter()
-        for (a, w), m in pairs.items():
-            gain[a] += m * (math.log(m - 1 + suffix_lm.MU * p0[w]) - math.log(ones[a] - 1 + suffix_lm.MU) - math.log(p0[w]))
-        states = {a for a, g in gain.items() if g >= suffix_lm.MIN_GAIN}
-        kept.add(len(states))
-        got = {x["doc_id"]: x["score"] for x in suffix_lm.suffix_tree_scores(table(spark, docs), F.lit(False), depth=1).collect()}
-        for (i, _), t in zip(docs, tok):
-            want = sum(math.log10((pairs[(a, w)] + suffix_lm.MU * p0[w]) / (ones[a] + suffix_lm.MU) if a in states else p0[w]) for a, w in zip([""] + t, t))
-            assert math.isclose(got[i], want, rel_tol=1e-9)
-    assert min(kept) == 0 and max(kept) == 7
+        want, depth = _brute_lm(docs, [False] * len(docs))
+        kept.add(depth)
+        got = {x["doc_id"]: x["score"] for x in suffix_lm.suffix_tree_scores(table(spark, docs), F.lit(False), hot=20 if n == 7 else suffix_lm.HOT).collect()}
+        assert all(math.isclose(got[i], x[4], rel_tol=1e-7) for (i, _), x in zip(docs, want))
+    assert min(kept) == 0 and max(kept) > 0
 
 
 def test_next_words_with_like_hashes_stay_apart():
-    def unmix(y):
-        y ^= (y >> 31) ^ (y >> 62)
-        y = y * pow(0x94D049BB133111EB, -1, 1 << 64) % (1 << 64)
-        y ^= (y >> 27) ^ (y >> 54)
-        y = y * pow(0xBF58476D1CE4E5B9, -1, 1 << 64) % (1 << 64)
-        return y ^ (y >> 30) ^ (y >> 60)
-
-    a = 12345  # two words whose pairs with it agree in the upper 32 and the lowest 8 bits
-    b, c = ((unmix(h) - a * int(suffix_lm.K)) % (1 << 64) for h in (0xABCDEF0100000101, 0xABCDEF0100000201))
-    pairs = tk.mix(np.array([a], np.uint64) * suffix_lm.K + np.array([b, c], np.uint64))
-    assert pairs.tolist() == [0xABCDEF0100000101, 0xABCDEF0100000201]
-    text = [0, 1] * 9 + [0, 2] * 4
-    row = dict(part=0, train=np.ones(1, bool).tobytes(), lengths=tk.squeeze(np.array([len(text)])), words=np.array([a, b, c], np.uint64).tobytes(), places=tk.squeeze(np.array(text)))
-    table_of = lambda rows: suffix_lm._table(rows, suffix_lm.ASK)
-    walk = suffix_lm.Walk(row, [], {}, 1)
-    back = [r for r in suffix_lm.add_words(table_of(walk.ask(0))).to_pylist() if r["kind"] >= 0]
-    stats = {"n": 26, "v": 3, "before": np.zeros(1, np.int64), "words": 3}
-    walk = suffix_lm.Walk(row, back, stats, 1)
-    walk.root()
-    back += suffix_lm.test_contexts(table_of([r | {"total": np.zeros(len(r["total"]) // 8, "i8").tobytes()} for r in walk.ask(1)]), 1).to_pylist()
-    assert sorted(suffix_lm.Walk(row, [r for r in back if r["kind"] >= 0], stats, 1).counts(1).tolist()) == [3, 4, 9, 9]  # (c, a), (a, c), (a, b), (b, a)
+    rows = [dict(bucket=0, part=0, spread=0, ctx=np.array([7], "u8").tobytes(), run=suffix_lm._planes(np.array([2], "<u4")), total=b"", w=suffix_lm._words(np.array([5, 5 + (1 << 32)], np.uint64), True), x=b"", p=suffix_lm._planes(np.array([0.2, 0.3], "<f4")), **suffix_lm._counts(np.array([9, 4])))]
+    back = suffix_lm.test_contexts(suffix_lm._table(rows, suffix_lm.ASK), 1).to_pylist()
+    assert suffix_lm._read_counts(back[0]).tolist() == [9, 4] and np.frombuffer(back[0]["total"], "i8").tolist() == [13]
 
 
 def test_base_spans_against_regexes():
