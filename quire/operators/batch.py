@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from pathlib import Path
 
@@ -32,19 +33,22 @@ def update(manifest: DataFrame, results: DataFrame) -> DataFrame:
     return manifest.join(results.select("slug"), "slug", "left_anti").unionByName(results, allowMissingColumns=True)
 
 
-def run(slugs: list[str], work: Callable[[str], None], stop_file: str | None = None, breaker: int = 3) -> list[dict]:
-    """Results of work on each slug in turn; a failure is a row, not the end. Ends early at a stop file, or after breaker failures in a row."""
+def run(slugs: list[str], work: Callable[[str], None], stop_file: str | None = None, breaker: int = 3, after: Callable[[dict], None] | None = None) -> list[dict]:
+    """Results of work on each slug in turn; a failure is a row, not the end. Ends early at a stop file, or after breaker failures in a row. after gets each result as soon as it is there, to be written down."""
     out, streak = [], 0
     for s in slugs:
         if stop_file and Path(stop_file).exists():
             break
+        began = time.monotonic()
         try:
             work(s)
-            out.append({"slug": s, "status": "done", "error": None, "error_class": None})
-            streak = 0
+            row = {"slug": s, "status": "done", "error": None, "error_class": None}
         except Exception as e:  # noqa: BLE001
-            out.append({"slug": s, "status": "convert_failed", "error": str(e)[-2000:], "error_class": type(e).__name__})
-            streak += 1
-            if streak >= breaker:
-                break
+            row = {"slug": s, "status": "convert_failed", "error": str(e)[-2000:], "error_class": type(e).__name__}
+        out.append(row | {"minutes": round((time.monotonic() - began) / 60, 1)})
+        if after is not None:
+            after(out[-1])
+        streak = 0 if row["status"] == "done" else streak + 1
+        if streak >= breaker:
+            break
     return out

@@ -39,6 +39,11 @@ def coverage_gaps(page_texts: DataFrame, blocks: DataFrame, least: int = 50) ->
     return bearing.join(blocks.select("book", F.col("abs_page").alias("page")).distinct(), ["book", "page"], "left_anti")
 
 
+def covered_pages(blocks: DataFrame) -> DataFrame:
+    """(book, n_pages): distinct pages that have a block."""
+    return blocks.where("abs_page IS NOT NULL").groupBy("book").agg(F.count_distinct("abs_page").alias("n_pages"))
+
+
 class CoverageError(ValueError):
     """Pages with text were dropped."""
 
@@ -50,6 +55,20 @@ def assert_covered(page_texts: DataFrame, blocks: DataFrame, least: int = 50) ->
         raise CoverageError("pages without blocks: " + ", ".join(f"{r['book']}:{r['page']}" for r in few))
 
 
+def drawn_pages(pages: DataFrame, least: int = 20) -> DataFrame:
+    """(book, page) of pages with tables, images or more than `least` drawings, from counts (book, page, tables, images, drawings)."""
+    return pages.where((F.col("tables") > 0) | (F.col("images") > 0) | (F.col("drawings") > least)).select("book", "page")
+
+
+def union_passes(passes: list[DataFrame]) -> DataFrame:
+    """The blocks of passes over chunks of a book as one pass: pages are absolute, `ord` counts on from pass to pass by page."""
+    all_ = passes[0]
+    for p in passes[1:]:
+        all_ = all_.unionByName(p, allowMissingColumns=True)
+    w = Window.partitionBy("book").orderBy("abs_page", "ord")
+    return all_.withColumn("ord", (F.row_number().over(w) - 1).cast("long"))
+
+
 def rich_pages(blocks: DataFrame) -> DataFrame:
     """Distinct (book, page) with a table, image, chart, equation or code."""
     return blocks.where(F.col("type").isin(*RICH)).select("book", F.col("abs_page").alias("page")).distinct()

@@ -40,19 +40,39 @@ def rank_books(reports: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def review_pages(blocks: DataFrame, mapping: DataFrame) -> DataFrame:
-    """(book, sample_idx, orig_page, md): the sampled pages' blocks in brief, empty where a page has none. mapping: book, sample_idx, orig_page."""
+    """(book, sample_idx, orig_page, md): the sampled pages' blocks in brief, empty where a page has none.
+
+    mapping: book, sample_idx, orig_page and, if pages are mapped more than once, pos, of which the largest counts; without pos the
+    largest orig_page.
+    """
+    last = F.max_by("orig_page", "pos") if "pos" in mapping.columns else F.max("orig_page")
+    one = mapping.groupBy("book", "sample_idx").agg(last.alias("orig_page"))
     md = assemble(blocks.withColumn("md", brief(blocks)).withColumn("sample_idx", F.coalesce("abs_page", F.lit(0))), ["book", "sample_idx"])
-    return mapping.join(md, ["book", "sample_idx"], "left").select("book", "sample_idx", "orig_page", F.coalesce("md", F.lit("")).alias("md"))
+    return one.join(md, ["book", "sample_idx"], "left").select("book", "sample_idx", "orig_page", F.coalesce("md", F.lit("")).alias("md"))
+
+
+def pages_with_content(blocks: DataFrame) -> DataFrame:
+    """(book, n_pages): distinct pages that have a block of any kind; blocks without a page are on page 0."""
+    return blocks.groupBy("book").agg(F.count_distinct(F.coalesce("abs_page", F.lit(0))).alias("n_pages"))
+
+
+def review_sheet(blocks: DataFrame, mapping: DataFrame) -> DataFrame:
+    """(book, content): a text of all sampled pages in order, each under its page number in the book, from 1."""
+    r = review_pages(blocks, mapping)
+    part = F.concat(F.lit("=== page "), (F.col("orig_page") + 1).cast("string"), F.lit(" (sample "), F.col("sample_idx").cast("string"), F.lit(") ===\n"), "md")
+    rows = F.array_sort(F.collect_list(F.struct("sample_idx", part.alias("part"))))
+    return r.groupBy("book").agg(F.concat(F.array_join(F.transform(rows, lambda x: x["part"]), "\n\n"), F.lit("\n")).alias("content"))
 
 
 def sample_pages(books: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:
-    """(book, page): n distinct pages from the middle nine tenths of each book, the same for a seed. books: book, npages; books without pages give none."""
+    """(book, page): n distinct pages from the middle nine tenths of each book, the same for a seed: those whose md5 with book and seed is least. books: book, npages; books without pages give none."""
     from pyspark.sql import Window
 
     low, high = F.floor(F.col("npages") * F.lit(0.05)), F.floor(F.col("npages") * F.lit(0.95))
     low, high = F.when(high > low, low).otherwise(0), F.when(high > low, high).otherwise(F.col("npages"))
     pages = books.where("npages > 0").select("book", F.explode(F.sequence(low.cast("int"), (high - 1).cast("int"))).alias("page"))
-    w = Window.partitionBy("book").orderBy(F.xxhash64(F.lit(seed), "book", "page"), "page")
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("book").cast("string"), F.lit("")), F.lit(":"), F.col("page").cast("string")))
+    w = Window.partitionBy("book").orderBy(draw, "page")
     return pages.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).drop("r")
 
 

@@ -37,8 +37,11 @@ def match(blocks: DataFrame, entries: DataFrame) -> DataFrame:
     return groups.select("book", F.explode(taken).alias("t")).select("book", F.col("t.seq").alias("seq"), F.col("t.ord").alias("ord"))
 
 
+SET = ("book", "ord", "type", "text", "text_level", "abs_page", "src")
+
+
 def apply(blocks: DataFrame, entries: DataFrame, gate: int = 3) -> DataFrame:
-    """blocks (book, ord, type, text, text_level, abs_page, src) with repaired headings, renumbered by `ord`.
+    """blocks (book, ord, type, text, text_level, abs_page, src, and any others, null in new ones) with repaired headings, renumbered by `ord`.
 
     A matched block becomes level 1 with the entry's title. An entry without one becomes a new block before the first block of its page
     or later, if its page has text; several at one place come in reverse order. Where at least gate entries matched, other level-1
@@ -46,14 +49,17 @@ def apply(blocks: DataFrame, entries: DataFrame, gate: int = 3) -> DataFrame:
     """
     e = entries.withColumn("seq", F.col("seq").cast("long"))
     m = match(blocks, e)
-    named = m.join(e.select("book", "seq", "title"), ["book", "seq"]).select(F.col("book").alias("__b"), F.col("ord").alias("__o"), F.trim("title").alias("__title"))
+    named = m.join(e.select("book", "seq", "title"), ["book", "seq"]).select(F.col("book").alias("__b"), F.col("ord").alias("__o"), strip(F.col("title")).alias("__title"))
     n = m.groupBy("book").agg(F.count(F.lit(1)).alias("n_matched"))
     rest = e.where(title_key(F.col("title")) != "").join(m.select("book", "seq"), ["book", "seq"], "left_anti")
-    pages = blocks.select("book", "ord", F.coalesce("abs_page", F.lit(-99)).alias("p"), (F.col("type") == "text").alias("is_text"))
-    where = rest.join(pages, "book").where("p >= page").groupBy("book", "seq", "title", "page").agg(F.min("ord").alias("at"), F.max((F.col("is_text") & (F.col("p") == F.col("page"))).cast("int")).alias("has_text")).where("has_text = 1")
+    # a page's own or next block: the least ord of this and later pages, by one window over distinct pages
+    p = blocks.groupBy("book", F.coalesce("abs_page", F.lit(-99)).alias("p")).agg(F.min("ord").alias("o"), F.max((F.col("type") == "text").cast("int")).alias("has_text"))
+    at = F.min("o").over(Window.partitionBy("book").orderBy("p").rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    p = p.withColumn("at", at).where("has_text = 1").select("book", F.col("p").alias("page"), "at")
+    where = rest.join(p, ["book", "page"]).select("book", "seq", "title", "page", "at")
     joined = blocks.join(named, (F.col("book") == F.col("__b")) & (F.col("ord") == F.col("__o")), "left").join(n, "book", "left")
     level = F.when(F.col("__title").isNotNull(), 1).when((F.col("n_matched") >= gate) & (F.col("type") == "text") & (F.col("text_level") == 1), 2).otherwise(F.col("text_level"))
-    kept = joined.select("book", F.col("ord").cast("long").alias("__at"), F.lit(1).alias("__k"), F.lit(0).cast("long").alias("__s"), "type", F.coalesce("__title", "text").alias("text"), level.cast("int").alias("text_level"), "abs_page", "src")
-    new = where.select("book", F.col("at").cast("long").alias("__at"), F.lit(0).alias("__k"), (-F.col("seq")).alias("__s"), F.lit("text").alias("type"), F.trim("title").alias("text"), F.lit(1).alias("text_level"), F.col("page").cast("int").alias("abs_page"), F.lit("toc").alias("src"))
+    kept = joined.select("book", F.col("ord").cast("long").alias("__at"), F.lit(1).alias("__k"), F.lit(0).cast("long").alias("__s"), "type", F.coalesce("__title", "text").alias("text"), level.cast("int").alias("text_level"), "abs_page", "src", *(c for c in blocks.columns if c not in SET))
+    new = where.select("book", F.col("at").cast("long").alias("__at"), F.lit(0).alias("__k"), (-F.col("seq")).alias("__s"), F.lit("text").alias("type"), strip(F.col("title")).alias("text"), F.lit(1).alias("text_level"), F.col("page").cast("int").alias("abs_page"), F.lit("toc").alias("src"))
     w = Window.partitionBy("book").orderBy("__at", "__k", "__s")
-    return kept.unionByName(new).withColumn("ord", F.row_number().over(w) - 1).drop("__at", "__k", "__s")
+    return kept.unionByName(new, allowMissingColumns=True).withColumn("ord", F.row_number().over(w) - 1).drop("__at", "__k", "__s")

@@ -24,7 +24,7 @@ def domains(pages: DataFrame) -> DataFrame:
 
 def links(pages: DataFrame) -> DataFrame:
     """(path, target): each [[target]], [[target|shown]] or [[target#part]] once."""
-    found = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"\[\[([^\]|#\n]+)[^\]\n]*\]\]"), 1), F.trim))
+    found = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"\[\[([^\]|#\n]+)[^\]\n]*\]\]"), 1), lambda x: F.trim(x)))
     return pages.select("path", F.explode(found).alias("target"))
 
 
@@ -57,5 +57,12 @@ def findings(rows: DataFrame) -> DataFrame:
     """Findings (severity, place, page, claim) that cite both a file:line and a [[Page]], once each, ranked by severity, then place."""
     order: Column = F.coalesce(F.array_position(F.array(*(F.lit(s) for s in SEVERITY)), F.col("severity")), F.lit(0))
     order = F.when(order == 0, len(SEVERITY) + 1).otherwise(order)
-    good = rows.where(F.col("place").rlike(r"\A[^:\s]+:\d+\z") & F.col("page").rlike(r"\A\[\[[^\]]+\]\]\z")).dropDuplicates(["place", "page", "claim"])
-    return good.withColumn("rank", F.row_number().over(Window.orderBy(order, "place", "claim")))
+    good = rows.where(F.col("place").rlike(r"\A[^:\s]+:\d+\z") & F.col("page").rlike(r"\A\[\[[^\]]+\]\]\z")).dropDuplicates(["place", "page", "claim"]).withColumn("__order", order)
+    # ranks by severity and place: counts of what sorts before a place are few, one row for each
+    places = good.groupBy("__order", "place").agg(F.count(F.lit(1)).alias("__n"))
+    by_order = good.groupBy("__order").agg(F.count(F.lit(1)).alias("__m"))  # a row for each severity
+    lower = by_order.withColumn("__below", F.coalesce(F.sum("__m").over(Window.orderBy("__order").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__order", "__below")
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy("__order").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = places.withColumn("__before", before).join(F.broadcast(lower), "__order").select("__order", "place", (F.col("__before") + F.col("__below")).alias("__at"))
+    within = F.row_number().over(Window.partitionBy("__order", "place").orderBy("claim", "page"))
+    return good.join(at, ["__order", "place"]).withColumn("rank", (F.col("__at") + within).cast("int")).drop("__order", "__at")

@@ -21,11 +21,11 @@ def _case(on: str, values: list[str]) -> str:
     return f"CASE {on} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
 
 
-_OPENINGS = ["''", "'\uf0a1 first item' || chr(10)", "'## \uf0a1 head' || chr(10)", "'an alphabet \uf0e5 of \uf070' || chr(10)", "'bad\ufdd0char' || chr(10)"]
+_OPENINGS = ["''", "'\uf0a1 first item' || chr(10)", "'## \uf0a1 head' || chr(10)", "'an alphabet \uf0e5 of \uf070' || chr(10)", "'bad\ufdd0char' || chr(10)", "'one \uf0a1 two\uf0a1 three\uf0a1four' || chr(10)", "'odd \uf0ff and \uf0fe' || chr(10)"]
 #: conv_id, turn, piece: a user's turn is a heading and prose, any other a fence.
 PIECES = f"""
 SELECT conv_id, turn, CASE WHEN role = 'user'
-  THEN concat('# Turn ', turn, ': ', substr(replace(text, {NL}, ' '), 1, 40), {NL}, {NL}, {_case("(conv_id + turn) % 5", _OPENINGS)}, text, {NL})
+  THEN concat('# Turn ', turn, ': ', substr(replace(text, {NL}, ' '), 1, 40), {NL}, {NL}, {_case("(conv_id + turn) % 7", _OPENINGS)}, CASE WHEN conv_id % 11 = 3 AND turn < 2 THEN 'old' || chr(13) || {NL} ELSE '' END, text, {NL})
   ELSE concat('```', {_case("(conv_id + turn) % 8", [f"'{t}'" for t in TAGS])}, {NL}, {_case("(conv_id * 3 + turn) % 16", INJECT)}, {NL}, text, {NL}, '```', {NL}) END AS piece
 FROM @conversations
 """
