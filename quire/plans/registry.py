@@ -93,10 +93,11 @@ _SYMBOLS = (
     + rf""", cr AS (SELECT conv_id, contains(md, chr(13) || chr(10)) AS crlf FROM md_docs),
 sy AS (SELECT lc.conv_id, any_value(crlf) AS crlf, string_agg(CASE WHEN in_code OR crlf THEN line ELSE {_FIX} END, chr(10) ORDER BY i) AS md,
   {", ".join(f"CAST(sum(CASE WHEN NOT in_code AND NOT crlf THEN {x} ELSE 0 END) AS BIGINT) AS {n}" for n, x in {"glyphs": f"length(line) - length(translate(line, '{_GLYPHS}', ''))", **{f"remap_{ord(g):04x}": f"length(line) - length(replace(line, '{g}', ''))" for g in markdown.GLYPHS}, "heading_markers": f"CASE WHEN {_IS_HEAD} THEN 1 ELSE 0 END", "list_markers": f"CASE WHEN {_IS_ITEM} THEN 1 ELSE 0 END", "stray_markers": f"{_N_BULLETS(_MARKED)} - {_N_BULLETS(_STRAY)}", "stray_unhandled": _N_BULLETS(_STRAY), "unknown": "0"}.items() if n != "unknown")},
+  CAST(sum(CASE WHEN in_code AND NOT crlf THEN length(line) - length(translate(line, '{_GLYPHS}{_BULLET}', '')) ELSE 0 END) AS BIGINT) AS in_code,
   CAST(sum(CASE WHEN crlf THEN 0 ELSE length(regexp_replace(line, '[^\x{{E000}}-\x{{F8FF}}]|[{_GLYPHS}{_BULLET}]', '', 'g')) END) AS BIGINT) AS unknown
   FROM lc JOIN cr USING (conv_id) GROUP BY lc.conv_id)"""
 )
-_SYMBOL_NAMES = ["glyphs", *(f"remap_{ord(g):04x}" for g in markdown.GLYPHS), "heading_markers", "list_markers", "stray_markers", "stray_unhandled", "unknown", "total_changes", "skipped_crlf"]
+_SYMBOL_NAMES = ["glyphs", *(f"remap_{ord(g):04x}" for g in markdown.GLYPHS), "heading_markers", "list_markers", "stray_markers", "stray_unhandled", "in_code", "unknown", "total_changes", "skipped_crlf"]
 
 
 @query("symbol_remap", f"WITH RECURSIVE {_SYMBOLS} SELECT conv_id, md5(md) AS md_md5, * EXCLUDE (conv_id, md, crlf), glyphs + heading_markers + list_markers + stray_markers AS total_changes, crlf AS skipped_crlf FROM sy")

@@ -12,7 +12,7 @@ NL = "chr(10)"
 
 INJECT = [
     "'def f(x):' || chr(10) || '    return x'", "'$ pip install quire'", "'SELECT a FROM b'", "'Listing 3.1 A caption'", "'fn main() [ let mut x = 1; ]'", "'#include <stdio.h>'", "'x := 1'", "'const x = 1;'", "'A[\"say'  || chr(92) || 'n' || '\"] --> B[\"b &quot;'",
-    "'kind: Pod'", "'key: v' || chr(10) || 'other: w'", "'run –dev − y ' || chr(92) || '$z ' || chr(92) || chr(92) || '_q'", "'[section]'", "'{\"a\": 1}'", "'# file: src/app.yml'", "'1 a' || chr(10) || '2 b' || chr(10) || '3 c'",
+    "'kind: Pod'", "'key: v' || chr(10) || 'other: w'", "'run –dev − y ' || chr(92) || '$z ' || chr(92) || chr(92) || '_q'", "'[section]'", "'{\"a\": 1}'", "'# file: src/app.yml'", "'1 a' || chr(10) || '2 b' || chr(10) || '3 c \uf070\uf0a1'",
 ]
 TAGS = ["", "c++", "mermaid", "java {highlight=2}", "python", "code", "sh", "text"]
 
