@@ -6,7 +6,8 @@ template that marks turns, escapes control strings and masks the loss is one too
 
 Template: `<s>` opens a conversation; a system turn is `<<SYS>>text<</SYS>>`, a user turn `[INST]text[/INST]`, an assistant turn
 `text</s>`, any other role `[ROLE]role[/ROLE]text[END]`. Inside texts every `[` is written `[\\`, every `<` `<\\`: a control string
-can then only come from the template, and unescaping drops the backslash after each `[` and `<`.
+can then only come from the template, and unescaping drops the backslash after each `[` and `<`. A placeholder is written as it is, so
+one in the formatted text stands for an attachment, never for a text that reads like one.
 """
 
 from __future__ import annotations
@@ -34,19 +35,20 @@ def part_tokens(p: Column) -> Column:
     )
 
 
-def flatten(parts: Column) -> tuple[Column, Column, Column]:
-    """(text, attachments, tokens) of a turn's parts (`PARTS`).
+def flatten(parts: Column, escaped: bool = False) -> tuple[Column, Column, Column]:
+    """(text, attachments, tokens) of a turn's parts (`PARTS`); with `escaped`, control strings in texts are escaped, and the placeholders are not.
 
     Parts follow each other in order. The k-th attachment of a turn, from 1, stands as the placeholder of its type and k; attachments
     lists (k, type, ref, tokens). Null lists, null parts and null texts are empty; parts of an unknown type give their text.
     """
     p = F.filter(F.coalesce(parts, F.array().cast(PARTS)), lambda x: x.isNotNull())
     kind = lambda x: F.coalesce(x["type"].isin(*PLACEHOLDERS), F.lit(False))
+    told = escape if escaped else lambda x: x
     visit = F.aggregate(
         p,
         F.struct(F.lit("").alias("text"), F.array().cast("array<struct<k:int,type:string,ref:string,tokens:bigint>>").alias("attached"), F.lit(0).cast("bigint").alias("tokens")),
         lambda acc, x: F.struct(
-            F.concat(acc["text"], F.when(kind(x), F.concat(F.lit("<|"), x["type"], F.lit("_"), (F.size(acc["attached"]) + 1).cast("string"), F.lit("|>"))).otherwise(F.coalesce(x["text"], F.lit("")))).alias("text"),
+            F.concat(acc["text"], F.when(kind(x), F.concat(F.lit("<|"), x["type"], F.lit("_"), (F.size(acc["attached"]) + 1).cast("string"), F.lit("|>"))).otherwise(told(F.coalesce(x["text"], F.lit(""))))).alias("text"),
             F.when(kind(x), F.concat(acc["attached"], F.array(F.struct((F.size(acc["attached"]) + 1).cast("int").alias("k"), x["type"].alias("type"), x["ref"].alias("ref"), part_tokens(x).alias("tokens"))))).otherwise(acc["attached"]).alias("attached"),
             (acc["tokens"] + F.when(kind(x), part_tokens(x)).otherwise(F.lit(0).cast("bigint"))).alias("tokens"),
         ),
@@ -68,9 +70,9 @@ def unescape(text: str) -> str:
     return text.replace("<\\", "<").replace("[\\", "[")
 
 
-def format_turn(role: Column, text: Column) -> Column:
-    """The formatted text of a turn; null roles are the role of an empty name."""
-    e, r = escape(F.coalesce(text, F.lit(""))), F.coalesce(role, F.lit(""))
+def format_turn(role: Column, content: Column) -> Column:
+    """The formatted text of a turn whose content is escaped; null roles are the role of an empty name."""
+    e, r = F.coalesce(content, F.lit("")), F.coalesce(role, F.lit(""))
     out = F.concat(F.lit("[ROLE]"), escape(r), F.lit("[/ROLE]"), e, F.lit("[END]"))
     for name, (a, b) in AROUND.items():
         out = F.when(r == name, F.concat(F.lit(a), e, F.lit(b))).otherwise(out)
@@ -78,67 +80,103 @@ def format_turn(role: Column, text: Column) -> Column:
 
 
 _CONTROL = re.compile(r"<s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|</s>|\[ROLE\]|\[/ROLE\]|\[END\]")
+_PLACE = re.compile(r"<\|(image|audio|document)_([0-9]+)\|>")
+_CLOSES = {"<</SYS>>": "system", "[/INST]": "user", "</s>": "assistant"}
 
 
-def parse_turn(formatted: str) -> tuple[str, str, list[tuple[int, int]]]:
-    """(role, text, loss mask as spans of the formatted text) of one formatted turn, read from its marks alone."""
-    marks = [(m.start(), m.end(), m.group()) for m in _CONTROL.finditer(formatted)]
-    first = marks[0]
-    if first[2] == "<<SYS>>":
-        return "system", unescape(formatted[first[1] : marks[1][0]]), []
-    if first[2] == "[INST]":
-        return "user", unescape(formatted[first[1] : marks[1][0]]), []
-    if first[2] == "[ROLE]":
-        return unescape(formatted[first[1] : marks[1][0]]), unescape(formatted[marks[1][1] : marks[2][0]]), []
-    return "assistant", unescape(formatted[: first[0]]), [(0, first[0])]
+class Reader:
+    """Reads the formatted text of a conversation, given in pieces that may be cut anywhere, by its marks alone.
+
+    take(role, text, attachments, in_loss) gets each turn as its end is read; attachments are (type, k) in order. Memory is that of a turn.
+    """
+
+    def __init__(self, take) -> None:
+        self.take, self.rest, self.role = take, "", ""
+
+    def feed(self, piece: str) -> None:
+        text, at = self.rest + piece, 0
+        for m in _CONTROL.finditer(text):
+            before, mark, at = text[at : m.start()], m.group(), m.end()
+            if mark == "[/ROLE]":
+                self.role = unescape(before)
+            elif mark == "[END]" or mark in _CLOSES:
+                self.take(_CLOSES.get(mark, self.role), unescape(before), [(x, int(k)) for x, k in _PLACE.findall(before)], mark == "</s>")
+            elif before:
+                raise ValueError(f"text before {mark}")
+        self.rest = text[at:]
+
+    def close(self) -> None:
+        if self.rest:
+            raise ValueError("an unfinished turn")
 
 
 def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", parts: Column | None = None) -> DataFrame:
-    """(conv_id, turn, role, formatted, attachments, tokens), a row for each turn; the formatted turns of a conversation in order, after `<s>`, are its text."""
-    text, attached, tokens = flatten(text_part(F.col("text")) if parts is None else parts)
-    return turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), format_turn(F.col(role_col).cast("string"), text).alias("formatted"), attached.alias("attachments"), tokens.alias("tokens"))
+    """(conv_id, turn, role, formatted, attachments, tokens), a row for each turn; the formatted turns of a conversation in order, after `<s>`, are its text.
+
+    parts: the turn's content as `PARTS`; by default its column text. Null texts and null lists of parts are empty, null roles are the
+    role of an empty name, null turns and conversations are kept; repeated rows are turns of their own; an empty table gives an empty
+    one; other columns are ignored.
+    """
+    text, attached, tokens = flatten(text_part(F.col("text")) if parts is None else parts, escaped=True)
+    role = F.col(f"`{role_col}`").cast("string")
+    return turns.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("turn"), role.alias("role"), format_turn(role, text).alias("formatted"), attached.alias("attachments"), tokens.alias("tokens"))
+
+
+READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_attachments long, attachment_tokens long"
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests per conversation from formatted turns: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
+    """Digests per conversation, read from its formatted text: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_attachments; and attachment_tokens, the tokens those expand to.
 
-    Turns are sorted by turn (null first), then role and text, and streamed, so a conversation of any length takes constant memory.
-    Repeated rows are turns of their own; null conversation ids are one conversation.
+    The text of a conversation is put together from `<s>` and its turns, sorted by turn (null first), then role and text, and parsed as
+    it streams by, so a conversation of any length takes the memory of a turn. Repeated rows are turns of their own; null conversation
+    ids are one conversation; other columns than those of `format_turns` are ignored.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: list = []
+    class Told:
+        def __init__(self, conv: int | None) -> None:
+            self.conv, self.n, self.turns, self.chars, self.loss, self.total, self.attached, self.tokens = conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0
+            self.reader = Reader(self.take)
+            self.feed(OPEN)
+
+        def feed(self, text: str) -> None:
+            self.total += len(text)
+            self.reader.feed(text)
 
-        def close() -> pa.RecordBatch:
-            conv, n, turns, chars, loss, total = state[0]
-            state.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([conv], pa.int64()), pa.array([n]), pa.array([turns.hexdigest()]), pa.array([chars]), pa.array([loss.hexdigest()]), pa.array([total])], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            )
+        def take(self, role: str, text: str, attachments: list, in_loss: bool) -> None:
+            self.n += 1
+            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+            self.attached += len(attachments)
+            if in_loss:
+                self.chars += len(text)
+                self.loss.update(text.encode("utf-8", "surrogatepass"))
 
+        def row(self) -> tuple:
+            self.reader.close()
+            return self.conv, self.n, self.turns.hexdigest(), self.chars, self.loss.hexdigest(), self.total, self.attached, self.tokens
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = {"long": pa.int64(), "string": pa.string()}
+        return pa.RecordBatch.from_arrays([pa.array(c, kinds[k.split(" ")[1]]) for c, k in zip(zip(*rows), READ.split(", "))], [k.split(" ")[0] for k in READ.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: Told | None = None
         for batch in batches:
             done = []
-            for conv, text in zip(batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist()):
-                if state and state[0][0] != conv:
-                    done.append(close())
-                if not state:
-                    state.append([conv, 0, hashlib.sha256(), 0, hashlib.sha256(), len(OPEN)])
-                s = state[0]
-                role, content, mask = parse_turn(text)
-                s[1] += 1
-                s[2].update(f"{role}\n{content}\n".encode("utf-8", "surrogatepass"))
-                for a, b in mask:
-                    told = unescape(text[a:b])
-                    s[3] += len(told)
-                    s[4].update(told.encode("utf-8", "surrogatepass"))
-                s[5] += len(text)
+            for conv, text, tokens in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "tokens"))):
+                if told is not None and told.conv != conv:
+                    done.append(told.row())
+                    told = None
+                told = Told(conv) if told is None else told
+                told.feed(text)
+                told.tokens += tokens or 0
             if done:
-                yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
-        if state:
-            yield close()
+                yield table(done)
+        if told is not None:
+            yield table([told.row()])
 
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "formatted")
-    return ordered.select("conv_id", "formatted").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return ordered.select("conv_id", "formatted", "tokens").mapInArrow(run, READ)
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +195,6 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
-  CAST(3 + sum(length(e) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 ELSE 18 + length(er) END) AS BIGINT) AS formatted_chars
+  CAST(3 + sum(length(e) + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 ELSE 18 + length(er) END) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens
 FROM f GROUP BY conv_id
 """

@@ -55,10 +55,14 @@ def test_warc_round_trip(spark, tmp_path):
 def test_chat_against_sql(spark):
     rows = [(1, 0, "system", "s<S>"), (1, 1, "user", "[INST]\\[\\<s>"), (1, 2, "assistant", "<\\/s></s>é"), (1, 2, "assistant", ""), (2, None, "tool", "[END]"), (2, 1, None, None), (3, 0, "assistant", None)]
     t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    f = chat.format_turns(t.selectExpr("*", "1 AS formatted"))
+    f = chat.format_turns(t.selectExpr("*", "1 AS formatted", "'z' AS tokens"))
     for r in f.collect():
-        role, text, mask = chat.parse_turn(r["formatted"])
-        assert (role, text) in {(x[2] or "", x[3] or "") for x in rows} and bool(mask) == (role == "assistant")
+        turns = []
+        reader = chat.Reader(lambda *x: turns.append(x))
+        for c in r["formatted"]:  # cut anywhere
+            reader.feed(c)
+        reader.close()
+        assert len(turns) == 1 and turns[0][:2] in {(x[2] or "", x[3] or "") for x in rows} and turns[0][3] == (r["role"] == "assistant")
     want = {}
     for c, _, role, text in rows:
         h = want.setdefault(c, [0, hashlib.sha256()])
@@ -77,6 +81,22 @@ def test_parts(spark):
     assert (b["t"], b["a"], b["n"]) == ("", [], 0)
 
 
+def test_conversations_with_attachments(spark):
+    image, audio = {"type": "image", "ref": "a.png", "width": 28, "height": 15}, {"type": "audio", "ref": "b.wav", "seconds": 1.5}
+    says = lambda t: {"type": "text", "text": t}
+    rows = [(1, 0, "user", [says("see "), image, says("</s>[INST]<|image_1|> and "), audio]), (1, 1, "assistant", [says("[END] ok")]), (1, 2, "tool[/ROLE]", [audio]), (2, 0, "assistant", None), (None, None, None, [])]
+    f = chat.format_turns(spark.createDataFrame(rows, f"conv_id long, turn long, role string, p {chat.PARTS}"), parts=F.col("p"))
+    got = {r["conv_id"]: r for r in chat.read_back(f.repartition(3)).collect()}
+    text = "see <|image_1|></s>[INST]<|image_1|> and <|audio_2|>"
+    assert got[1]["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n[END] ok\ntool[/ROLE]\n<|audio_1|>\n".encode()).hexdigest()
+    assert (got[1]["n_turns"], got[1]["n_attachments"], got[1]["attachment_tokens"], got[1]["loss_chars"]) == (3, 3, 4 + 38 + 38, 8)
+    assert [(got[k]["n_turns"], got[k]["n_attachments"]) for k in (2, None)] == [(1, 0), (1, 0)]
+    whole = chat.OPEN + "".join(r["formatted"] for r in f.where("conv_id = 1").orderBy("turn").collect())
+    turns = []
+    chat.Reader(lambda *x: turns.append(x)).feed(whole)
+    assert turns == [("user", text, [("image", 1), ("audio", 2)], False), ("assistant", "[END] ok", [], True), ("tool[/ROLE]", "<|audio_1|>", [("audio", 1)], False)]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     at = [docs]
