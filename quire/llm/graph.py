@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from .cluster import settle
 
 
-def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(v, label): for each node the smallest node it is connected to.
 
     nodes: v; edges: a, b, in any direction, repeats and loops allowed. Labels are lowered to the smallest of the neighbours' and then
-    to the label of the label, until none changes; each round is written to the shared folder. Raises if that takes too many rounds.
+    to the label of the label, until none changes; each round is written to the shared folder. Labels only fall and there are finitely
+    many, so the rounds end. A node with many neighbours is a hot key of the join: adaptive execution splits it, and the minimum is
+    taken within tasks first.
     """
     both = settle(edges.where("a <> b").select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges", free=False)
     if both.isEmpty():
         return nodes.select("v", F.col("v").alias("label"))
     # only nodes with edges take part in the rounds
     labels = settle(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels", free=False)
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
         lowered = labels.join(near, "v").select("v", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("v").alias("label"), F.col("label").alias("up"))
@@ -27,4 +29,3 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> Da
         labels = new.select("v", "label")
         if new.where("old <> label").isEmpty():
             return nodes.select("v").join(labels, "v", "left").select("v", F.coalesce("label", "v").alias("label"))
-    raise RuntimeError("components did not settle")

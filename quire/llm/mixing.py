@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textkit as tk
-from .cluster import settle
+from .cluster import input_bytes, places, settle
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 CLASSES = 8
 BINS = 4096
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 SALTS = 16
 
 
@@ -51,16 +51,7 @@ def word_sizes(docs: DataFrame, text_col: str = "text", out: str = "size", keep_
 
 def ranked(keys: DataFrame, col: str) -> DataFrame:
     """keys with `rank`, their place from 0 by code point, null last; sorted across tasks, never in one."""
-    s = settle(keys.orderBy(F.col(col).asc_nulls_last()).withColumn("__at", F.monotonically_increasing_id()), "sources", free=False)
-    part = F.shiftright("__at", 33)
-    counts = {r[0]: r[1] for r in s.groupBy(part.alias("p")).count().collect()}  # one row for each partition
-    before, total = [], 0
-    for p in sorted(counts):
-        before += [F.lit(p), F.lit(total).cast("long")]
-        total += counts[p]
-    if not before:
-        return s.select(*keys.columns, F.lit(0).cast("long").alias("rank"))
-    return s.select(*keys.columns, (F.create_map(*before)[part] + F.col("__at").bitwiseAND((1 << 33) - 1)).alias("rank"))
+    return places(keys.orderBy(F.col(col).asc_nulls_last())).withColumnRenamed("place", "rank")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_COPIES) -> DataFrame:
@@ -97,10 +88,10 @@ def class_weight(cls: Column) -> Column:
 
 
 def _attach(docs: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """docs left-joined null-safely to a table that has one row for each key: broadcast if it is small (its rows are counted), else salted, as one key may hold a third of docs."""
+    """docs left-joined null-safely to a table that has one row for each key: broadcast if it is small (its rows are counted, its bytes estimated), else salted, as one key may hold a third of docs."""
     s = small.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in small.columns if c not in keys))
     same = [docs[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
-    if s.count() <= BROADCAST_ROWS:
+    if s.count() <= BROADCAST_ROWS and input_bytes(s) <= BROADCAST_BYTES:
         joined = docs.join(F.broadcast(s), same, "left")
     else:
         salted = s.withColumn("__salt", F.explode(F.array(*(F.lit(i) for i in range(SALTS)))))
@@ -111,11 +102,12 @@ def _attach(docs: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
 def mix(docs: DataFrame, keep: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 1) -> DataFrame:
     """A row for each row of docs: doc_id, size, source_size, target, taken (words, repeats counted), copies, and the columns in keep.
 
-    Null texts have 0 words; null sources are a source of their own, sorted last; null ids draw the number of an empty id; repeated
+    Null texts have 0 words; null sources are a source of their own, sorted last; null ids draw by the text; repeated
     rows draw equal numbers and are interchangeable; an empty table gives an empty one. The same rows and seed give the same mix.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), *(F.col(c).alias(f"k_{c}") for c in keep if c != text_col), F.col(text_col).alias("__t"))
-    draw = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
+    slim = slim.withColumn("__d", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("n"), F.md5(F.coalesce(F.col("__t").cast("string"), F.lit(""))))))
+    draw = F.md5(F.concat("__d", F.lit(f":{seed}")))
     u = (F.conv(F.substring(draw, 1, 13), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
     base = settle(word_sizes(slim, "__t", keep_text=text_col in keep).withColumn("u", u).withColumn("cls", class_of(F.col("size"))), "mix-sizes")
     by_class = settle(base.groupBy("source", "cls").agg(F.sum("size").alias("words")), "mix-classes", free=False)
@@ -172,7 +164,7 @@ def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         (CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':1')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM documents),
+         (CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), 'n' || md5(coalesce(text, ''))), ':1')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u FROM documents),
 dc AS (SELECT *, CASE WHEN size >= 16384 THEN 7 WHEN size >= 4096 THEN 6 WHEN size >= 1024 THEN 5 WHEN size >= 256 THEN 4 WHEN size >= 64 THEN 3 WHEN size >= 16 THEN 2 WHEN size >= 4 THEN 1 ELSE 0 END AS cls FROM d),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk FROM d GROUP BY source),
 sw AS (SELECT *, CASE rk % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, CAST(3 * source_size AS HUGEINT) AS cap, (SELECT CAST(sum(source_size) AS HUGEINT) FROM src) AS total FROM src),

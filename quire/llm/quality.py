@@ -189,7 +189,9 @@ def fit_rules(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     of = features()
-    rows = stats.where("n_words > 0").join(F.broadcast(some), "doc_id").select("quality", (F.crc32(F.col("doc_id").cast("string")) % 3 == 0).alias("fold"), *(c.alias(k) for k, c in of.items())).limit(2 * fit_rows).toPandas()
+    one = F.min(F.struct(*COUNTS))  # of several rows of an id the least
+    texts = stats.where("n_words > 0").join(F.broadcast(some), "doc_id").groupBy("doc_id", "quality").agg(one.alias("c")).select("doc_id", "quality", "c.*")
+    rows = texts.select("doc_id", "quality", (F.crc32(F.col("doc_id").cast("string")) % 3 == 0).alias("fold"), *(c.alias(k) for k, c in of.items())).toPandas().sort_values("doc_id")
     x = {k: rows[k].to_numpy(np.float64) for k in of}
     return learn_list(x, rows["quality"].to_numpy() == 0, rows["fold"].to_numpy(bool))
 
