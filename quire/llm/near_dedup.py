@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .cluster import buckets_for, keyed_docs, new_names, part_of, settle
+from .cluster import buckets_for, by, keyed_docs, new_names, part_of, places, settle
 from .graph import components
 
 SHINGLE = 5
 NUM, DEN = 80, 100  # linked when DEN * intersection >= NUM * union
-BLOCK = 1_000
+BLOCK, BLOCK_TOKENS = 1_000, 1 << 20  # sets of a block, at most, and tokens, unless a single set has more
+SIGNATURE = 512
 LEAF = 32
 FAN = 4
 U64 = tk.U64
@@ -104,30 +105,47 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
             first = np.zeros(len(s), bool)
             first[one] = True
             h, x = h[first[x]], x[first[x]]
-            q = ((h >> U64(32)) % U64(buckets)).astype(np.int64)
-            o = np.argsort(q.astype(np.uint16) if buckets < 1 << 16 else q, kind="stable")
+            # what several classes of this batch have is shared: it is counted here, and two of them go on to tell others
+            order, heads = tk.group_ids(h)
+            size = np.diff(np.append(heads, len(order)))
+            many = np.repeat(size > 1, size)
             rows = []
-            for b, m, n in tk.runs(q[o]):
-                i = o[m:n]
-                u, inv = np.unique(x[i], return_inverse=True)
-                rows.append((b, keys[u].tobytes(), s[u].tobytes(), inv.astype("u4" if len(u) > 65535 else "u2").tobytes(), (h[i] & U64(0xFFFFFFFF)).astype("u4").tobytes()))
+            if many.any():
+                u, n = np.unique(x[order[many]], return_counts=True)
+                rows.append((int(keys[u[0]]) % buckets, keys[u].tobytes(), n.astype("i4").tobytes(), None, None, None))
+            begin = heads[size > 1]
+            for at, known in ((order[~many], False), (order[np.concatenate((begin, begin + 1))], True)):
+                q = ((h[at] >> U64(32)) % U64(buckets)).astype(np.int64)
+                o = np.argsort(q.astype(np.uint16) if buckets < 1 << 16 else q, kind="stable")
+                for b, m, n in tk.runs(q[o]):
+                    i = at[o[m:n]]
+                    u, inv = np.unique(x[i], return_inverse=True)
+                    rows.append((b, None if known else keys[u].tobytes(), None, s[u].tobytes(), inv.astype("u4" if len(u) > 65535 else "u2").tobytes(), (h[i] & U64(0xFFFFFFFF)).astype("u4").tobytes()))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] + [pa.binary()] * 4)], ["bucket", "keys", "sig", "doc", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] + [pa.binary()] * 5)], ["bucket", "keys", "n", "sig", "doc", "h"])
 
     def count(t: pa.Table) -> pa.Table:
-        ks, ss, hs = [], [], []
+        ks, ss, hs, cs, us, ns = [], [], [], [], [], []
         for r in t.to_pylist():
+            if r["h"] is None:
+                us.append(np.frombuffer(r["keys"], "i8"))
+                ns.append(np.frombuffer(r["n"], "i4"))
+                continue
             h = np.frombuffer(r["h"], "u4")
             doc = np.frombuffer(r["doc"], "u2" if len(r["doc"]) == 2 * len(h) else "u4")
-            ks.append(np.frombuffer(r["keys"], "i8")[doc])
+            ks.append(np.zeros(len(h), np.int64) if r["keys"] is None else np.frombuffer(r["keys"], "i8")[doc])
+            cs.append(np.full(len(h), r["keys"] is not None))
             ss.append(np.frombuffer(r["sig"], "u8")[doc])
             hs.append(h)
-        key, sig, h = (np.concatenate(v) for v in (ks, ss, hs))
-        o = np.argsort(h, kind="stable")
-        heads = np.flatnonzero(np.concatenate(([True], h[o][1:] != h[o][:-1])))
-        lo, hi = np.minimum.reduceat(sig[o], heads), np.maximum.reduceat(sig[o], heads)
-        hit = key[o[np.repeat(lo < hi, np.diff(np.append(heads, len(o))))]]
-        u, n = np.unique(hit, return_counts=True)
+        if hs:
+            key, sig, h, counted = (np.concatenate(v) for v in (ks, ss, hs, cs))
+            o = np.argsort(h, kind="stable")
+            heads = np.flatnonzero(np.concatenate(([True], h[o][1:] != h[o][:-1])))
+            lo, hi = np.minimum.reduceat(sig[o], heads), np.maximum.reduceat(sig[o], heads)
+            u, n = np.unique(key[o[np.repeat(lo < hi, np.diff(np.append(heads, len(o)))) & counted[o]]], return_counts=True)
+            us.append(u)
+            ns.append(n)
+        u, n = np.concatenate(us), np.concatenate(ns)
         q = (u.view(U64) % U64(parts)).astype(np.int64)
         o = np.argsort(q, kind="stable")
         q, u, n = q[o], u[o], n[o]
@@ -141,8 +159,8 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
         u, inv = np.unique(k, return_inverse=True)
         return pa.table({"key": pa.array(u), "shared": pa.array(np.bincount(inv, n).astype(np.int64))})
 
-    sent = d.mapInArrow(send, "bucket int, keys binary, sig binary, doc binary, h binary")
-    return sent.groupBy("bucket").applyInArrow(count, "part int, keys binary, n binary").groupBy("part").applyInArrow(add, "key long, shared long")
+    sent = d.mapInArrow(send, "bucket int, keys binary, n binary, sig binary, doc binary, h binary")
+    return by(by(sent, buckets, "bucket").applyInArrow(count, "part int, keys binary, n binary"), parts, "part").applyInArrow(add, "key long, shared long")
 
 
 def _sets_of(d: DataFrame, wanted: DataFrame, k: int, parts: int) -> DataFrame:
@@ -161,7 +179,7 @@ def _sets_of(d: DataFrame, wanted: DataFrame, k: int, parts: int) -> DataFrame:
                     out[keys[keep[p.row + i]]] = h[cut[i] : cut[i + 1]].tobytes()
         return pa.table({"key": pa.array(list(out), pa.int64()), "n": pa.array([len(x) // 8 for x in out.values()], pa.int64()), "hashes": pa.array(list(out.values()), pa.binary())})
 
-    return d.withColumn("part", part_of(parts)).groupBy("part").cogroup(wanted.withColumn("part", part_of(parts)).groupBy("part")).applyInArrow(run, "key long, n long, hashes binary")
+    return by(d.withColumn("part", part_of(parts)), parts, "part").cogroup(by(wanted.withColumn("part", part_of(parts)), parts, "part")).applyInArrow(run, "key long, n long, hashes binary")
 
 
 def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
@@ -203,7 +221,7 @@ def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
     # edges found within tasks are spread again, so that they are not all in one group
     sent = sets.select("key", "hashes").mapInArrow(send, "bucket int, a binary, b binary")
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("a"), F.lit(buckets))).otherwise(F.col("bucket")).cast("int")
-    return sent.withColumn("bucket", spread).groupBy("bucket").applyInArrow(join, "a long, b long").distinct()
+    return by(sent.withColumn("bucket", spread), buckets, "bucket").applyInArrow(join, "a long, b long").distinct()
 
 
 # ---- signature trees ---------------------------------------------------------------------------------------------------------------
@@ -314,13 +332,16 @@ def count_links(bits: np.ndarray, size: np.ndarray, members: np.ndarray, split:
     return count, np.array([root(i) for i in range(len(size))], np.int64)
 
 
-PACKED = "cluster long, block long, keys binary, members binary, pivot binary, gone binary, n_gone binary, extra binary, n_extra binary"
+PACKED = "cluster long, block long, low long, high long, sig array<int>, keys binary, members binary, pivot binary, gone binary, n_gone binary, extra binary, n_extra binary"
 _PACKED = [x.split(" ") for x in PACKED.split(", ")]
 
 
 def _pack(t: pa.Table) -> pa.Table:
-    """Blocks as one row each. Sets are written as their difference from the block's first, of which near duplicates have little."""
-    c, b, n, k, m = (np.asarray(t.column(x).combine_chunks()) for x in ("cluster", "block", "n", "key", "members"))
+    """Blocks as one row each. Sets are written as their difference from the block's first, of which near duplicates have little.
+
+    sig, for blocks of clusters that have many: for each of `SIGNATURE` classes of tokens the most that any set of the block holds.
+    """
+    c, b, n, k, m, many = (np.asarray(t.column(x).combine_chunks()) for x in ("cluster", "block", "n", "key", "members", "many"))
     hashes = t.column("hashes")
     order = np.lexsort((k, n, b, c))
     heads = np.flatnonzero(np.concatenate(([True], (c[order][1:] != c[order][:-1]) | (b[order][1:] != b[order][:-1]))))
@@ -329,6 +350,7 @@ def _pack(t: pa.Table) -> pa.Table:
         at = order[i:j]
         pivot = np.frombuffer(hashes[int(at[0])].as_py(), "u8")
         gone, extra = [], []
+        sig = np.zeros(SIGNATURE, np.int64)
         for x in at.tolist():
             s = np.frombuffer(hashes[x].as_py(), "u8")
             p = np.minimum(np.searchsorted(pivot, s), len(pivot) - 1)
@@ -337,9 +359,11 @@ def _pack(t: pa.Table) -> pa.Table:
             missing[p[inside]] = False
             gone.append(np.flatnonzero(missing).astype("u4"))
             extra.append(s[~inside])
+            if many[x]:
+                sig = np.maximum(sig, np.bincount((s % U64(SIGNATURE)).astype(np.int64), minlength=SIGNATURE))
         size = lambda v: np.array([len(x) for x in v], "u4").tobytes()
-        out.append((int(c[at[0]]), int(b[at[0]]), k[at].astype("i8").tobytes(), m[at].astype("i8").tobytes(), pivot.tobytes(), np.concatenate(gone).tobytes(), size(gone), np.concatenate(extra).tobytes(), size(extra)))
-    return pa.table({f: pa.array(v, pa.int64() if kind == "long" else pa.binary()) for v, (f, kind) in zip(zip(*out), _PACKED)})
+        out.append((int(c[at[0]]), int(b[at[0]]), int(n[at[0]]), int(n[at[-1]]), sig.tolist() if many[at[0]] else None, k[at].astype("i8").tobytes(), m[at].astype("i8").tobytes(), pivot.tobytes(), np.concatenate(gone).tobytes(), size(gone), np.concatenate(extra).tobytes(), size(extra)))
+    return pa.table({f: pa.array(v, {"long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}[kind]) for v, (f, kind) in zip(zip(*out), _PACKED)})
 
 
 def _unpack(r: dict) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -349,7 +373,7 @@ def _unpack(r: dict) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     return of("keys", "i8"), of("members", "i8"), [np.concatenate((np.delete(pivot, g), e)) for g, e in zip(gone, extra)]
 
 
-def _compare(work: DataFrame) -> DataFrame:
+def _compare(work: DataFrame, tasks: int) -> DataFrame:
     """Links of each pair of blocks: rows (key, other, links): with other null, how many documents key is linked with; else an edge."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -373,7 +397,7 @@ def _compare(work: DataFrame) -> DataFrame:
         cols = list(zip(*out)) if out else [(), (), ()]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("key", "other", "links"), cols)})
 
-    return work.groupBy("task").applyInArrow(run, "key long, other long, links long")
+    return by(work, tasks, "task").applyInArrow(run, "key long, other long, links long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE) -> DataFrame:
@@ -395,29 +419,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = settle(_sets_of(d, wanted.select("key"), k, parts), "candidate-sets")
     edges = settle(_prefix_edges(found, max(4, buckets // 4)), "prefix-edges", free=False)
     clusters = components(found.select(F.col("key").alias("v")), edges).withColumnRenamed("v", "key").withColumnRenamed("label", "cluster")
-    # blocks by size within clusters, without sorting a cluster in one task
+    # blocks by size within clusters, without sorting a cluster in one task; of larger sets fewer make a block
     placed = found.select("key", "n").join(clusters, "key").join(wanted, "key")
-    placed = settle(placed.join(placed.groupBy("cluster").count().where("count > 1"), "cluster").drop("count").orderBy("cluster", "n", "key").withColumn("at", F.monotonically_increasing_id()), "placed", free=False)
-    part = F.shiftright("at", 33)
-    before, total = [], 0
-    for p, n in sorted((r[0], r[1]) for r in placed.groupBy(part.alias("p")).count().collect()):  # one row for each partition
-        before += [F.lit(p), F.lit(total).cast("long")]
-        total += n
-    rank = (F.create_map(*before)[part] if before else F.lit(0).cast("long")) + F.col("at").bitwiseAND((1 << 33) - 1)
-    placed = placed.withColumn("rank", rank)
-    heads = placed.groupBy("cluster").agg(F.min("rank").alias("head"))
-    placed = settle(placed.join(heads, "cluster").withColumn("block", F.floor((F.col("rank") - F.col("head")) / BLOCK)).select("key", "cluster", "n", "members", "block"), "blocks", free=False)
-    blocks = placed.groupBy("cluster", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    i, j = blocks.select("cluster", F.col("block").alias("i"), F.col("high").alias("i_high")), blocks.select("cluster", F.col("block").alias("j"), F.col("low").alias("j_low"))
-    pairs = i.join(j, "cluster").where((F.col("i") <= F.col("j")) & (F.col("i_high") * DEN >= F.col("j_low") * NUM)).select("cluster", "i", "j")
-    pairs = settle(pairs, "block-pairs", free=False)
-    sides = pairs.select("cluster", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(pairs.where("i <> j").select("cluster", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
+    placed = placed.join(placed.groupBy("cluster").count().where("count > 1"), "cluster").drop("count").withColumn("size_class", F.floor(F.log2("n")))
+    placed = places(placed.orderBy("cluster", "n", "key"))
+    heads = placed.groupBy("cluster", "size_class").agg(F.min("place").alias("head"))
+    per = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.expr(f"shiftright({BLOCK_TOKENS}, CAST(size_class AS INT))")))
+    block = F.col("size_class") * F.lit(1 << 40) + F.floor((F.col("place") - F.col("head")) / per)
+    placed = settle(placed.join(heads, ["cluster", "size_class"]).select("key", "cluster", "n", "members", block.cast("long").alias("block")), "blocks", free=False)
+    many = placed.groupBy("cluster").agg((F.min("block") < F.max("block")).alias("many"))
     # small clusters share tasks; a block, and a pair of blocks, is never split
     tasks = max(8, 4 * buckets)
-    loaded = placed.join(found.select("key", "hashes"), "key").withColumn("task", F.pmod(F.xxhash64("cluster", "block"), F.lit(tasks)))
-    packed = settle(loaded.groupBy("task").applyInArrow(_pack, PACKED), "packed", free=False)
-    work = packed.join(sides, ["cluster", "block"]).withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)))
-    compared = settle(_compare(work), "links")
+    loaded = placed.join(many, "cluster").join(found.select("key", "hashes"), "key").withColumn("task", F.pmod(F.xxhash64("cluster", "block"), F.lit(tasks)))
+    packed = settle(by(loaded, buckets, "task").applyInArrow(_pack, PACKED), "packed", free=False)
+    # the roots of the blocks' trees: pairs that cannot make up the overlap of a link by size or signature are left out before any is loaded
+    side = lambda x: packed.select("cluster", F.col("block").alias(x), F.col("low").alias(f"{x}_low"), F.col("high").alias(f"{x}_high"), F.col("sig").alias(f"{x}_sig"))
+    most = F.least(F.aggregate(F.zip_with("i_sig", "j_sig", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x), "i_high", "j_high")
+    near = (F.col("i") == F.col("j")) | ((F.col("i_high") * DEN >= F.col("j_low") * NUM) & (most * (NUM + DEN) >= NUM * (F.col("i_low") + F.col("j_low"))))
+    pairs = settle(side("i").join(side("j"), "cluster").where((F.col("i") <= F.col("j")) & near).select("cluster", "i", "j"), "block-pairs", free=False)
+    sides = pairs.select("cluster", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(pairs.where("i <> j").select("cluster", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
+    work = packed.drop("sig", "low", "high").join(sides, ["cluster", "block"]).withColumn("task", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(tasks)))
+    compared = settle(_compare(work, tasks), "links")
     counts = compared.where("other IS NULL").groupBy("key").agg(F.sum("links").alias("links"))
     joined = components(wanted.select(F.col("key").alias("v")), compared.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")))
     tops = classes.join(joined.withColumnRenamed("v", "key"), "key").select("key", "label", "first")
