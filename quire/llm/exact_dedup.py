@@ -1,7 +1,7 @@
 """Removal of repeated byte strings with suffix arrays built by two-stage sorting.
 
-Every stretch of `length` bytes that also starts in a document with a smaller id is removed. No task ever sees the corpus, nor is any
-text but a small part shuffled:
+Every stretch of `length` bytes that also starts in a document with a smaller id is removed. No task ever sees the corpus. Texts are
+shuffled twice, by document, to fetch what has to be compared and to cut out what was found; all else that travels is hashes and places:
 
 1. Anchors. Each text is winnowed: of every `length` bytes at least one k-gram is chosen by content alone, so equal stretches choose
    equal anchors. Per anchor only two hashes travel: of the k-gram, and of its context, which is all bytes that a stretch holding
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .cluster import buckets_for, keyed_docs, part_of, settle
+from .cluster import buckets_for, by, keyed_docs, part_of, settle
 
 LENGTH = 50
 GRAM = 20
@@ -334,7 +334,7 @@ def _decide(entries: DataFrame, parts: int, width: str) -> DataFrame:
                     rows.append(dict(kind=3, part=int(x), keys=key[j].astype("i8").tobytes(), a=a[j].astype("u4").tobytes(), b=b[j].astype("u4").tobytes(), gram=gram[j].astype("u4").tobytes(), ids=ids[j].astype("i8").tobytes(), more=count[m:n].astype("u4").tobytes(), also=key[rest].astype("i8").tobytes(), at=a[rest].astype("u4").tobytes()))
         return pa.Table.from_batches([_batch(rows, _DECIDED)])
 
-    return entries.groupBy("bucket").applyInArrow(run, DECIDED)
+    return by(entries, parts, "bucket").applyInArrow(run, DECIDED)
 
 
 CONTEXT = "bucket int, keys binary, ids binary, a binary, n binary, gram binary, bytes binary, more binary, also binary, at binary"
@@ -370,7 +370,7 @@ def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int, width: st
                     rows.append(dict(bucket=int(x), keys=key[m].tobytes(), ids=ids[m].tobytes(), a=a[m].tobytes(), n=k.astype(width).tobytes(), gram=gram[m].tobytes(), bytes=p.buf[pos].tobytes(), more=more[m].tobytes(), also=also[e].tobytes(), at=at[e].tobytes()))
         return pa.Table.from_batches([_batch(rows, _CONTEXT)])
 
-    return d.withColumn("part", part_of(parts)).groupBy("part").cogroup(decided.where("kind = 3").groupBy("part")).applyInArrow(run, CONTEXT)
+    return by(d.withColumn("part", part_of(parts)), parts, "part").cogroup(by(decided.where("kind = 3"), parts, "part")).applyInArrow(run, CONTEXT)
 
 
 def _compare(contexts: DataFrame, parts: int, length: int, width: str) -> DataFrame:
@@ -424,7 +424,7 @@ def _compare(contexts: DataFrame, parts: int, length: int, width: str) -> DataFr
             rows = [dict(part=q, keys=kk, a=aa, b=bb) for q, kk, aa, bb in _span_rows(x, y, z, parts)]
         return pa.Table.from_batches([_batch(rows, [f.split(" ") for f in SPANS.split(", ")])])
 
-    return contexts.groupBy("bucket").applyInArrow(run, SPANS)
+    return by(contexts, parts, "bucket").applyInArrow(run, SPANS)
 
 
 def _cut_out(d: DataFrame, spans: DataFrame, parts: int, texts_too: bool) -> DataFrame:
@@ -450,7 +450,7 @@ def _cut_out(d: DataFrame, spans: DataFrame, parts: int, texts_too: bool) -> Dat
         names = ["doc_id", "key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
         return pa.table({n: pa.array(c, t) for n, c, t in list(zip(names, cols, types))[: 7 if texts_too else 6]})
 
-    return d.withColumn("part", part_of(parts)).groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, schema)
+    return by(d.withColumn("part", part_of(parts)), parts, "part").cogroup(by(spans, parts, "part")).applyInArrow(run, schema)
 
 
 def hot_anchors(d: DataFrame, length: int, gram: int, sample: int = HOT_SAMPLE, share: float = HOT_SHARE) -> np.ndarray:
