@@ -2,12 +2,17 @@
 
 The base patterns (email, ip, card, phone) are matched exactly as over the whole text, but only inside the maximal runs of bytes that
 could hold a match, which numpy finds. The random field then labels every token that has a digit, '@' or '+'. Its edges join
-neighbouring tokens (chain), successive occurrences of one token, and successive tokens of one shape in the same document (skip
-edges, however far apart); loopy sum-product message passing runs over all documents of a piece at once, with the tokens of base spans
-held at their label. Tokens whose marginal for a kind reaches `CERTAIN` add spans; base spans always stay.
-
-There are no annotated spans, so the weights are fitted by pseudo-likelihood on the base spans of a bounded sample (`FIT_DOCS`
-documents, those whose ids hash lowest). Everything else covers every whole text, in one pass without a shuffle.
+neighbouring tokens (chain), successive occurrences of one token (apart from marks around it), and successive tokens of one shape in
+the same document (skip edges, however far apart); loopy sum-product message passing runs over all documents of a piece at once, with
+the tokens of base spans held at their label. Tokens whose marginal for a kind reaches `CERTAIN` add spans; base spans always stay.
+So a number without its prefix, or with other separators, is found where the document has it in full elsewhere.
+
+There are no annotated spans, so the weights are fitted by pseudo-likelihood on base spans as if they were hidden: half of the time
+what a token looks like is masked, half of the time what stands around it, and half of the time its neighbours' labels, so that each
+must do without the others. Tokens in no base span are examples of nothing, so that looks alone rarely decide where they are shared; numbers that fail
+the test of their kind (Luhn's, 255) have a look of their own, and the field leaves them alone. The fit is on
+whole documents, those whose ids hash lowest, at most `FIT_DOCS` and with at most `FIT_TOKENS` such tokens together. Everything else
+covers every whole text, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkit as tk
+from .cluster import discard, settle
 
 KINDS = ("email", "ip", "card", "phone")
 L = len(KINDS) + 1  # label 0: none
@@ -32,8 +38,10 @@ CARD = re.compile(rb"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 FIT_DOCS = 20_000
 FIT_TOKENS = 400_000
-CERTAIN = 0.95
+CERTAIN = 0.9
 DIM = 1 << 15
+OWN = 5  # the first features: what the token itself looks like
+MASKED = DIM - 1  # stands for each of them where they are masked, and MASKED - 1 for each of the others
 ROUNDS = 8
 _D = tk.table((0x30, 0x39))
 _chars = lambda s: tk.table(*[(ord(c), ord(c)) for c in s])
@@ -73,6 +81,14 @@ def accepted(kind: int, s: bytes) -> bool:
     return 14 <= len(n) <= 19 and luhn(n) if kind == 2 else 10 <= len(n) <= 15
 
 
+def rejected(token: bytes) -> bool:
+    """Whether a token is a number as long as a card's that fails Luhn's test, or four numbers with dots of which one is too large."""
+    n = _digits(token)
+    if re.fullmatch(rb"[0-9 -]+", token):
+        return 14 <= len(n) <= 19 and not luhn(n)
+    return IP.fullmatch(token) is not None and not accepted(1, token)
+
+
 def base_spans(buf: np.ndarray) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the base matches in a buffer of texts whose separators no pattern crosses, by start, then kind."""
     out = []
@@ -132,13 +148,24 @@ def build_graph(p: tk.Piece, spans: list[tuple[int, int, int]]) -> Graph | None:
     shape_pre = tk.prefix_hash(_SHAPE[buf])
     pre = tk.prefix_hash(buf)
     word_shape = lambda i: np.where((i >= 0) & (i < len(a)), tk.span_hash(shape_pre, a[np.clip(i, 0, len(a) - 1)], b[np.clip(i, 0, len(a) - 1)]), tk.U64(7))
-    h, s = tk.span_hash(pre, a[k], b[k]), word_shape(k)
-    digits = np.concatenate(([0], np.cumsum(_D[buf], dtype=np.int32)))
-    nd = digits[b[k]] - digits[a[k]]
-    has = lambda c: (np.searchsorted(at := np.flatnonzero(buf == ord(c)), b[k]) - np.searchsorted(at, a[k])).astype(np.int64)
-    size = np.minimum(b[k] - a[k], 40)
-    columns = [s, size.astype(tk.U64) * tk.U64(64) + np.minimum(nd, 40).astype(tk.U64), word_shape(k - 1) ^ tk.U64(3), word_shape(k + 1) ^ tk.U64(5), np.minimum(has("@"), 2).astype(tk.U64) * tk.U64(3) + (_SHAPE[buf[a[k]]]).astype(tk.U64) * tk.U64(16), np.minimum(has("."), 6).astype(tk.U64) * tk.U64(128) + np.minimum(nd, 20).astype(tk.U64), np.minimum(has("-") + has("("), 4).astype(tk.U64) * tk.U64(64) + np.minimum(nd, 20).astype(tk.U64)]
-    features = np.stack([(tk.mix(c + tk.U64(1000003 * (i + 1))) & tk.U64(DIM - 1)).astype(np.int32) for i, c in enumerate(columns)], axis=1)
+    digits, dots = np.concatenate(([0], np.cumsum(_D[buf], dtype=np.int32))), np.flatnonzero(buf == ord("."))
+    word = lambda i: np.where((i >= 0) & (i < len(a)), tk.span_hash(pre, a[np.clip(i, 0, len(a) - 1)], b[np.clip(i, 0, len(a) - 1)]), tk.U64(9))
+    # a token apart from marks around it
+    x, y = a[k].copy(), b[k].copy()
+    for _ in range(4):
+        x += (y - x > 1) & ~_EDGE_CHARS[buf[x]]
+        y -= (y - x > 1) & ~_EDGE_CHARS[buf[y - 1]]
+    h, s = tk.span_hash(pre, x, y), tk.span_hash(shape_pre, x, y)
+    # what would be of a kind but fails its test does not look like that kind
+    for i in np.flatnonzero((digits[y] - digits[x] >= 14) | ((np.searchsorted(dots, y) - np.searchsorted(dots, x)) >= 3)).tolist():
+        if rejected(buf[x[i] : y[i]].tobytes()):
+            s[i] ^= tk.U64(11)
+    nd = digits[y] - digits[x]
+    has = lambda c: (np.searchsorted(at := np.flatnonzero(buf == ord(c)), y) - np.searchsorted(at, x)).astype(np.int64)
+    size = np.minimum(y - x, 40)
+    own = [s, size.astype(tk.U64) * tk.U64(64) + np.minimum(nd, 40).astype(tk.U64), np.minimum(has("@"), 2).astype(tk.U64) * tk.U64(3) + (_SHAPE[buf[x]]).astype(tk.U64) * tk.U64(16), np.minimum(has("."), 6).astype(tk.U64) * tk.U64(128) + np.minimum(nd, 20).astype(tk.U64), np.minimum(has("-") + has("("), 4).astype(tk.U64) * tk.U64(64) + np.minimum(nd, 20).astype(tk.U64)]
+    around = [word_shape(k - 1) ^ tk.U64(3), word_shape(k + 1) ^ tk.U64(5), word(k - 1), word(k + 1)]
+    features = np.stack([np.minimum(tk.mix(c + tk.U64(1000003 * (i + 1))) & tk.U64(DIM - 1), tk.U64(MASKED - 2)).astype(np.int32) for i, c in enumerate(own + around)], axis=1)
     edges = []
     near = np.flatnonzero((doc[1:] == doc[:-1]) & (k[1:] - k[:-1] <= 2))
     edges.append(np.stack([near, near + 1], axis=1))
@@ -194,32 +221,36 @@ def marginals(g: Graph, f: Field, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def neighbour_counts(g: Graph) -> np.ndarray:
-    """For each token and edge type, how many neighbours have each label."""
+    """For each token and edge type, how many neighbours are in base spans of each kind; those in none are not known to be nothing."""
     out = np.zeros((len(g.start), 3, L), np.float32)
     for t, e in enumerate(g.edges):
         for i, j in ((0, 1), (1, 0)):
             np.add.at(out, (e[:, i], t, g.label[e[:, j]]), 1)
+    out[:, :, 0] = 0
     return out
 
 
-def fit_field(features: np.ndarray, neighbours: np.ndarray, label: np.ndarray, epochs: int = 6, rate: float = 0.1, decay: float = 1e-5, seed: int = 1) -> Field:
-    """Pseudo-likelihood of each label given features and the neighbours' labels (AdaGrad; deterministic). Half of the time the neighbours are hidden, so that node weights can stand alone."""
+def fit_field(features: np.ndarray, neighbours: np.ndarray, label: np.ndarray, steps: int = 2_000, rate: float = 0.1, decay: float = 1e-5, seed: int = 1) -> Field:
+    """Pseudo-likelihood of each label given the token's look, what is around it, and the neighbours' labels (AdaGrad; deterministic; whole epochs, at least 6, of at least `steps` steps together), each of the three masked half of the time. Without a base span the field is one that adds nothing."""
     node, pair = np.zeros((DIM, L)), np.zeros((3, L, L))
-    if not len(label):
+    if not label.any():
         node[:, 0] = 1.0
         return Field(node, pair)
+    neighbours = np.minimum(neighbours, 2)
     rng = np.random.Generator(np.random.PCG64(seed))
     gn, gp = np.full(node.shape, 1e-6), np.full(pair.shape, 1e-6)
     onehot = np.eye(L)[label]
-    for _ in range(epochs):
+    for _ in range(max(6, -(-steps * 512 // len(label)) if len(label) > 512 else steps)):
         order = rng.permutation(len(label))
         for at in range(0, len(order), 512):
             i = order[at : at + 512]
-            nb = np.minimum(neighbours[i], 2) * (rng.random(len(i)) < 0.5)[:, None, None]
-            z = node[features[i]].sum(axis=1) + np.einsum("ntl,tlm->nm", nb, pair)
+            nb = neighbours[i] * (rng.random(len(i)) < 0.5)[:, None, None]
+            f = features[i]
+            for part, mask in ((slice(None, OWN), MASKED), (slice(OWN, None), MASKED - 1)):
+                f[:, part] = np.where((rng.random(len(i)) < 0.5)[:, None], mask, f[:, part])
+            z = node[f].sum(axis=1) + np.einsum("ntl,tlm->nm", nb, pair)
             p = np.exp(z - z.max(axis=1, keepdims=True))
             g = p / p.sum(axis=1, keepdims=True) - onehot[i]
-            f = features[i]
             u, inv = np.unique(f, return_inverse=True)
             d = np.zeros((len(u), L))
             np.add.at(d, inv.reshape(f.shape), g[:, None, :])
@@ -227,14 +258,20 @@ def fit_field(features: np.ndarray, neighbours: np.ndarray, label: np.ndarray, e
             gn[u] += d * d
             node[u] -= rate * d / np.sqrt(gn[u])
             e = np.einsum("ntl,nm->tlm", nb, g) / len(i)
+            e = e + e.transpose(0, 2, 1)  # one potential for both directions of an edge
             gp += e * e
             pair -= rate * e / np.sqrt(gp)
-    return Field(node, (pair + pair.transpose(0, 2, 1)) / 2)
+    return Field(node, pair)
 
 
 def _plausible(kind: int, s: bytes) -> bool:
     n = len(_digits(s))
-    return (b"@" in s, s.count(b".") >= 3 and 4 <= n <= 12, 12 <= n <= 19, 7 <= n <= 15)[kind]
+    if kind == 1:
+        parts = re.findall(rb"[0-9]+", s)
+        return len(parts) == 4 and all(int(x) <= 255 for x in parts) and not re.search(rb"[A-Za-z]", s)
+    if kind == 2:
+        return 14 <= n <= 19 and luhn(_digits(s))
+    return b"@" in s if kind == 0 else 7 <= n <= 15
 
 
 def added_spans(p: tk.Piece, g: Graph, m: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -261,16 +298,16 @@ def added_spans(p: tk.Piece, g: Graph, m: np.ndarray, base: list[tuple[int, int,
     return out
 
 
-def piece_spans(p: tk.Piece, field: Field | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """(base, added) spans of a piece as byte positions."""
-    base = base_spans(p.buf)
+def piece_spans(p: tk.Piece, field: Field | None, base: list[tuple[int, int, int]] | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(base, added) spans of a piece as byte positions. base: the base spans that are known, if not all."""
+    base = base_spans(p.buf) if base is None else base
     g = build_graph(p, base) if field is not None else None
     # a piece's base spans may overlap each other; `ends` needs order
     return base, added_spans(p, g, marginals(g, field), sorted(base, key=lambda s: s[1])) if g is not None else []
 
 
-def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Field:
-    """A field from the base spans of at most fit_docs documents. An empty table gives one that adds nothing."""
+def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_tokens: int = FIT_TOKENS) -> Field:
+    """A field from the base spans of at most fit_docs documents, in order of the hashes of their ids, that have at most fit_tokens tokens together; one that goes beyond is left out. A table without base spans gives a field that adds nothing; null ids are never used."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,16 +319,43 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Field:
                 cut = np.searchsorted(g.doc, np.arange(len(p.start) + 1))
                 keep = np.flatnonzero(np.diff(cut))
                 blob = lambda x: pa.array([x[cut[d] : cut[d + 1]].tobytes() for d in keep], pa.binary())
-                yield pa.RecordBatch.from_arrays([p.ids.take(pa.array(keep)), blob(g.features.astype("i4")), blob(nb), blob(g.label.astype(np.int8))], ["doc_id", "f", "n", "y"])
+                yield pa.RecordBatch.from_arrays([p.ids.take(pa.array(keep)), pa.array(np.diff(cut)[keep]), blob(g.features.astype("i4")), blob(nb), blob(g.label.astype(np.int8))], ["doc_id", "tokens", "f", "n", "y"])
 
     # bounded: fit_docs ids
     some = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
-    got = rows.mapInArrow(run, "doc_id long, f binary, n binary, y binary").toPandas().sort_values(["doc_id", "f", "y"])
-    f, n, y = (np.frombuffer(b"".join(got[c]), t) for c, t in (("f", "i4"), ("n", np.int8), ("y", np.int8)))
-    y = y[:FIT_TOKENS].astype(np.int64)
-    width = len(f) // max(1, len(np.frombuffer(b"".join(got["y"]), np.int8)))
-    return fit_field(f.reshape(-1, width)[: len(y)] if width else np.zeros((0, 1), np.int32), n.reshape(-1, 3, L)[: len(y)].astype(np.float32), y)
+    got = settle(rows.mapInArrow(run, "doc_id long, tokens long, f binary, n binary, y binary"), "pii-fit", free=False)
+    chosen, total = [], 0
+    for i, n in got.groupBy("doc_id").agg(F.sum("tokens").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if total + n <= fit_tokens:
+            chosen.append((i,))
+            total += n
+    told = got.join(F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long")), "doc_id").select("doc_id", "f", "n", "y").toPandas().sort_values(["doc_id", "f", "y"])
+    discard(got)
+    f, n, y = (np.frombuffer(b"".join(told[c]), t) for c, t in (("f", "i4"), ("n", np.int8), ("y", np.int8)))
+    return fit_field(f.reshape(len(y), -1) if len(y) else np.zeros((0, 1), np.int32), n.reshape(-1, 3, L).astype(np.float32), y.astype(np.int64))
+
+
+def recovery(docs: DataFrame, field: Field, share: int = 3) -> dict[str, int]:
+    """How well the field finds base spans that it is not told: of documents with base spans every share-th span, by a hash, is hidden.
+
+    hidden: spans hidden; found: those of which an added span of that kind covers all; added: spans added; right: those that touch a hidden span of their kind.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in tk.pieces(batch):
+                base = base_spans(p.buf)
+                h = tk.mix(np.array([a for a, _, _ in base], tk.U64)) % tk.U64(share) == 0
+                hidden, seen = [x for x, y in zip(base, h) if y], [x for x, y in zip(base, h) if not y]
+                _, added = piece_spans(p, field, seen)
+                found = sum(any(x <= a and b <= y and k == j for x, y, j in added) for a, b, k in hidden)
+                right = sum(any(x < b and a < y and k == j for x, y, j in hidden) for a, b, k in added)
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (len(hidden), found, len(added), right)], ["hidden", "found", "added", "right"])
+
+    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    names = ["hidden", "found", "added", "right"]
+    return source.mapInArrow(run, ", ".join(f"{c} long" for c in names)).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)).first().asDict()
 
 
 def _told(spans: list[tuple[int, int, int]]) -> str:
@@ -364,3 +428,29 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return find(docs, fit(docs))
+
+
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op10 that the field has no part in."""
+    return find(spark.read.parquet(f"{sf_dir}/documents.parquet"), None).drop("spans")
+
+
+def _matches(kind: str, k: int, pattern: str, good: str) -> str:
+    """Rows (doc_id, k, kind, a, z) of a pattern's matches: between them the text is cut, so their places follow from lengths."""
+    return f"""{kind}_0 AS (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS gaps FROM d),
+{kind}_1 AS (SELECT doc_id, ms[i] AS m, list_sum(list_transform(gaps[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1 : i - 1], lambda x: length(x))), 0) AS a FROM {kind}_0, LATERAL (SELECT unnest(generate_series(1, len(ms))) AS i)),
+{kind} AS (SELECT doc_id, {k} AS k, '{kind}' AS kind, CAST(a AS BIGINT) AS a, CAST(a + length(m) AS BIGINT) AS z FROM {kind}_1 WHERE {good})"""
+
+
+_NUM = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"list_sum(list_transform(string_split(reverse({_NUM}), ''), lambda c, i: CASE WHEN i % 2 = 1 THEN CAST(c AS INT) WHEN CAST(c AS INT) > 4 THEN CAST(c AS INT) * 2 - 9 ELSE CAST(c AS INT) * 2 END)) % 10 = 0"
+BASE_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_matches("email", 0, EMAIL.pattern.decode().replace("(", "(?:"), "true")},
+{_matches("ip", 1, IP.pattern.decode().replace("(", "(?:"), "list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS HUGEINT))) <= 255")},
+{_matches("card", 2, CARD.pattern.decode().replace("(", "(?:"), f"length({_NUM}) BETWEEN 14 AND 19 AND {_LUHN}")},
+{_matches("phone", 3, r"[+][0-9][ ().0-9-]+[0-9]", f"length({_NUM}) BETWEEN 10 AND 15")},
+s AS (SELECT * FROM email UNION ALL SELECT * FROM ip UNION ALL SELECT * FROM card UNION ALL SELECT * FROM phone)
+SELECT d.doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip, count(*) FILTER (k = 2) AS n_card, count(*) FILTER (k = 3) AS n_phone, sha256(coalesce(string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, k), '')) AS base_sha256
+FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id
+"""

@@ -196,6 +196,11 @@ def fit_rules(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     return learn_list(x, rows["quality"].to_numpy() == 0, rows["fold"].to_numpy(bool))
 
 
+def base_failed(min_words: int = 50, max_repeat: int = 50) -> Column:
+    """Fewer than min_words words, or over max_repeat % of them in repeated three-word windows."""
+    return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
+
+
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, max_repeat: int = 50) -> DataFrame:
     """One row per row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
@@ -204,7 +209,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     stats = settle(text_stats(docs, id_col, text_col), "quality-stats")
     rules = fit_rules(stats, labels)
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
+    failed = base_failed(min_words, max_repeat)
     return stats.select("doc_id", *COUNTS[:5], failed.alias("base_failed"), (~failed & list_expression(rules, F.lit(False), F.lit(True))).alias("kept"))
 
 
@@ -212,3 +217,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, with rules learned from labels.quality."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return judge(docs, labels)
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op3 that the learned rules have no part in."""
+    return text_stats(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", *COUNTS[:5], base_failed().alias("base_failed"))
+
+
+BASE_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, k, ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2] AS x FROM w, LATERAL (SELECT unnest(generate_series(1, len(ws) - 2)) AS k)),
+r AS (SELECT doc_id, k FROM (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, x) AS n FROM g) WHERE n > 1),
+h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) AS p FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(h.n, 0) AS BIGINT) AS n_repeat_words,
+  len(ws) < 50 OR 100 * coalesce(h.n, 0) > 50 * len(ws) AS base_failed
+FROM w LEFT JOIN l USING (doc_id) LEFT JOIN h USING (doc_id)
+"""
