@@ -105,9 +105,9 @@ def places(df: DataFrame) -> DataFrame:
     return at.join(F.broadcast(upto), "__p").withColumn("place", F.col("__before") + F.col("__i")).drop("__p", "__i", "__before")
 
 
-def by(df: DataFrame, n: int, *keys: str):
-    """df grouped by keys over n tasks, whatever spark.sql.shuffle.partitions says: n grows with the input, so a task's share does not."""
-    return df.repartition(n, *keys).groupBy(*keys)
+def by(df: DataFrame, n: int, key: str):
+    """df grouped by a whole-number key over n tasks, whatever spark.sql.shuffle.partitions says: n grows with the input, so a task's share does not. Keys that follow each other go to different tasks, where hashing would put several into one."""
+    return df.withColumn("__slot", F.pmod(F.col(key), F.lit(n)).cast("int")).repartitionById(n, F.col("__slot")).groupBy("__slot", key)
 
 
 def keyed_docs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -30,6 +30,7 @@ SHINGLE = 5
 NUM, DEN = 80, 100  # linked when DEN * intersection >= NUM * union
 BLOCK, BLOCK_TOKENS = 1_000, 1 << 20  # sets of a block, at most, and tokens, unless a single set has more
 SIGNATURE = 512
+FEW = 4  # classes of a batch that have a shingle; where there are more, not each of them travels
 LEAF = 32
 FAN = 4
 U64 = tk.U64
@@ -105,15 +106,15 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
             first = np.zeros(len(s), bool)
             first[one] = True
             h, x = h[first[x]], x[first[x]]
-            # what several classes of this batch have is shared: it is counted here, and two of them go on to tell others
+            # what many classes of this batch have is shared: it is counted here, and two of them go on to tell others
             order, heads = tk.group_ids(h)
             size = np.diff(np.append(heads, len(order)))
-            many = np.repeat(size > 1, size)
+            many = np.repeat(size > FEW, size)
             rows = []
             if many.any():
                 u, n = np.unique(x[order[many]], return_counts=True)
                 rows.append((int(keys[u[0]]) % buckets, keys[u].tobytes(), n.astype("i4").tobytes(), None, None, None))
-            begin = heads[size > 1]
+            begin = heads[size > FEW]
             for at, known in ((order[~many], False), (order[np.concatenate((begin, begin + 1))], True)):
                 q = ((h[at] >> U64(32)) % U64(buckets)).astype(np.int64)
                 o = np.argsort(q.astype(np.uint16) if buckets < 1 << 16 else q, kind="stable")
