@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cluster import settle, shared_dir
+from .cluster import own_path, settle
 
 DATE = "1970-01-01T00:00:00Z"
 SALTS = 16
@@ -172,6 +172,11 @@ def resolve(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     return out.withColumn("original", F.when(revisit, F.col("first"))).drop("first", "me", "salt")
 
 
+def fresh_id(old: str) -> str:
+    """The id of a record's copy in the deduplicated archives, which revisits refer to."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, old)}>"
+
+
 def write_deduplicated(resolved: DataFrame, folder: str) -> DataFrame:
     """Write archives in which revisits carry no payload; returns their manifest. Each task reads the archives of its rows front to back."""
 
@@ -180,10 +185,10 @@ def write_deduplicated(resolved: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 common = [("WARC-Date", DATE), ("WARC-Target-URI", r["url"]), ("WARC-Payload-Digest", "sha1:" + r["digest"]), ("Quire-Page", "" if r["page_id"] is None else str(r["page_id"]))]
-                fresh = ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>")
+                fresh = ("WARC-Record-ID", fresh_id(r["record_id"]))
                 if r["original"] is not None:
                     o = r["original"]
-                    w.add(record([("WARC-Type", "revisit"), fresh, *common, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", o["record_id"]), ("Quire-Refers-To-Page", "" if o["page_id"] is None else str(o["page_id"])), ("Quire-Payload-Length", str(r["payload_bytes"]))], b""))
+                    w.add(record([("WARC-Type", "revisit"), fresh, *common, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", fresh_id(o["record_id"])), ("Quire-Refers-To-Page", "" if o["page_id"] is None else str(o["page_id"])), ("Quire-Payload-Length", str(r["payload_bytes"]))], b""))
                     continue
                 if r["path"] != name:
                     if f is not None:
@@ -198,7 +203,7 @@ def write_deduplicated(resolved: DataFrame, folder: str) -> DataFrame:
         yield w.manifest()
 
     files = resolved.repartition("path").sortWithinPartitions("path", "offset")
-    return settle(files.select("page_id", "url", "digest", "payload_bytes", "path", "offset", "length", "original").mapInArrow(run, MANIFEST), "warc-manifest", free=False)
+    return settle(files.select("page_id", "url", "digest", "payload_bytes", "path", "offset", "length", "original", "record_id").mapInArrow(run, MANIFEST), "warc-manifest", free=False)
 
 
 def deduplicate(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -214,7 +219,7 @@ def deduplicate(pages: DataFrame, folder: str, min_bytes: int = 0, id_col: str =
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records, deduplicated and read back."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    out = deduplicate(pages, f"{shared_dir(spark)}/quire/warc-{uuid.uuid4().hex}")
+    out = deduplicate(pages, own_path(spark, "warc"))
     return out.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import random
+import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -46,6 +47,9 @@ def test_warc_round_trip(spark, tmp_path):
     assert len({x["record_id"] for x in r}) == len(rows)
     kept = b"".join(gzip.decompress(p.read_bytes()) for p in Path(tmp_path, "kept").iterdir())
     assert kept.count(b"WARC-Type: revisit") == 5 and kept.count(b"\r\n\r\nsame") == 1 and b"\r\nX: y" not in kept
+    ids = {t: set(re.findall(rb"WARC-Type: " + t + rb"\r\n(?:[^\r\n]+\r\n)*?WARC-Record-ID: ([^\r\n]+)", kept)) for t in (b"response", b"revisit")}
+    told = re.findall(rb"WARC-Refers-To: ([^\r\n]+)", kept)
+    assert len(told) == 5 and set(told) <= ids[b"response"] and len(ids[b"revisit"]) == 5
     few = warc.deduplicate(d, f"file://{tmp_path}/m", min_bytes=5).collect()
     assert all(x["record_type"] == "response" for x in few)
     assert warc.deduplicate(d.where("false"), f"file://{tmp_path}/e").count() == 0
@@ -97,6 +101,20 @@ def test_conversations_with_attachments(spark):
     assert turns == [("user", text, [("image", 1), ("audio", 2)], False), ("assistant", "[END] ok", [], True), ("tool[/ROLE]", "<|audio_1|>", [("audio", 1)], False)]
 
 
+def test_pipeline_of_odd_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, __key string, size int, copies string, label long"
+    rows = [(1, "a b c", "en", "s", "k", 1, "x", 9), (1, "a b c", "en", "s", "k", 1, "x", 9), (None, "x y z", None, None, None, None, None, None), (2, None, "en", "s", "k", 1, "x", 9), (3, "", "en", "s", "k", 1, "x", 9), (4, "long " * 50_000 + "a.b@c.de", "en", "t", "k", 1, "x", 9), (None, None, None, None, None, None, None, None)]
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            docs = spark.createDataFrame([tuple(r) for r in out.collect()], out.schema)
+            assert docs.columns[:8] == [x.split(" ")[0] for x in schema.split(", ")], name
+        # only the repeated row goes
+        assert docs.count() == (0 if not n else 6) and docs.columns[8:] == ["copies_", "taken"]
+        assert {r["__key"] for r in docs.where("doc_id = 1").collect()} <= {"k"} and docs.where("text LIKE '%@%'").count() == 0
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     at = [docs]
