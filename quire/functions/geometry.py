@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _side(b: Column, axis: int) -> Column:
+    return b[axis + 2] - b[axis]
+
+
 def area(b: Column) -> Column:
     """0 for a null box."""
-    return F.coalesce((b[2] - b[0]) * (b[3] - b[1]), F.lit(0.0))
+    return F.coalesce(_side(b, 0) * _side(b, 1), F.lit(0.0))
 
 
 def _inter(a: Column, b: Column) -> Column:

@@ -46,7 +46,7 @@ def _n(c: Column) -> Column:
     return F.sum(F.when(c, 1).otherwise(0)).cast("long")
 
 
-# ---- Markdown ------------------------------------------------------------------------------------------------------------------------
+# -- Markdown
 
 LEX = (
     sub.MD_DOCS
@@ -112,7 +112,7 @@ def illegal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sub.md_docs(spark, sf_dir).select("conv_id", F.explode(markdown.illegal_counts(F.col("md"))).alias("code_point", "n"))
 
 
-_CAP = r"'^(Example|Figure|Listing|Table)\s+(\d+(?:\.\d+)*)\s+(\S.*)$'"
+_CAP = r"'^(Example|Figure|Listing|Table)\s+((?:\d+\.)*\d+)\s+(\S.*)$'"
 
 
 @query("caption_lift", rf"WITH RECURSIVE {LEX}, c AS (SELECT *, trim(list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '\S'))[1]) AS first FROM fl WHERE lang <> 'mermaid') SELECT conv_id, CAST(s AS BIGINT) AS s, regexp_extract(first, {_CAP}, 1) || ' ' || regexp_extract(first, {_CAP}, 2) AS label FROM c WHERE regexp_matches(first, {_CAP})")
@@ -331,7 +331,7 @@ def chain_full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("conv_id", F.to_json("illegal_counts").alias("illegal_counts"), "illegal_word_joins", F.col("symbols.total_changes").alias("symbols"), F.col("symbols_after_captions.total_changes").alias("symbols_after_captions"), n("captions"), n("retags"), n("dashes"), n("escapes"), "diagrams_changed", "score_before", "score_after", F.array_join("titles", "|").alias("titles"), F.array_join("files", "|").alias("files"))
 
 
-# ---- blocks --------------------------------------------------------------------------------------------------------------------------
+# -- blocks
 
 _MATCH = (
     sub.BLOCKS
@@ -460,7 +460,7 @@ def lines_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.drop_lines(b, pages.repeated_lines(b, n, share=0.04)).groupBy("book").agg(F.count(F.lit(1)).alias("n"))
 
 
-# ---- table of contents ---------------------------------------------------------------------------------------------------------------
+# -- table of contents
 
 _KEY = r"regexp_replace(regexp_replace(lower(trim({})), '^(?:part|chapter|appendix)\s+[clxvi\d]+\s*[.:-]?\s*', ''), '[^a-z0-9]+', '', 'g')"
 _TOC = f"""tb AS ({sub.TOC_BLOCKS.replace("@", "")}), te AS (SELECT book, seq, title, page1 - 1 AS page FROM ({sub.TOC.replace("@", "")}) WHERE level = 1 AND page1 >= 1),
@@ -491,7 +491,7 @@ def toc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("book", F.col("ord").cast("long").alias("ord"), "text", F.col("text_level").cast("long").alias("text_level"), "src")
 
 
-# ---- rendering and review ------------------------------------------------------------------------------------------------------------
+# -- rendering and review
 
 _FLAGS = "ord % 10 = 0 AS code_flag, ord % 15 = 0 AS indent_flag, ord % 20 = 0 AS reindented"
 
@@ -586,7 +586,7 @@ def page_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qa.sample_pages(books)
 
 
-# ---- triage and batches --------------------------------------------------------------------------------------------------------------
+# -- triage and batches
 
 _SCAN = """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN concat('Copyright (c) ', 1990 + doc_id % 30, chr(10), text) WHEN doc_id % 4 = 1 THEN concat('In ', 1950 + doc_id % 70, ' and 2001', chr(10), text) ELSE text END AS text, concat('/in/', CASE WHEN doc_id % 2 = 0 THEN '9781234567890-' ELSE '' END, 'the_book-', doc_id, '.pdf') AS file FROM @documents"""
 
@@ -632,7 +632,7 @@ def failure_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.failure_runs(_attempts(spark, sf_dir).select("book", "seq", (F.col("status") == "done").alias("ok")))
 
 
-# ---- a vault -------------------------------------------------------------------------------------------------------------------------
+# -- a vault
 
 _VAULT = """SELECT concat('wiki/', CASE WHEN doc_id % 5 = 0 THEN 'notes' ELSE concat('domains/', source) END, '/page', doc_id, '.md') AS path,
   concat('see [[page', doc_id + 1, ']] and [[page', doc_id * 2, '|that]]', chr(10), CASE doc_id % 3 WHEN 0 THEN '> [!warning] careful' WHEN 1 THEN '> [!GAP]- none' ELSE '> [!note] plain' END, chr(10), coalesce(text, '')) AS text,

@@ -16,8 +16,8 @@ BLOCK = "type string, sub_type string, page_idx int, text string, text_level int
 
 
 def parse_blocks(json: Column) -> Column:
-    """array<string>: the elements of a JSON array as they are written."""
-    return F.from_json(json, "array<string>")
+    """array<string>: the elements of a JSON array as they are written. Reading fails where it is none."""
+    return F.from_json(json, "array<string>", {"mode": "FAILFAST"})
 
 
 def block_columns(raw: Column) -> list[Column]:
