@@ -37,7 +37,7 @@ HOT_SHARE = 0.005
 LAST = np.iinfo(np.int64).max  # stands for a null id: larger than all
 
 
-# ---- two-stage sorting -------------------------------------------------------------------------------------------------------------
+# -- two-stage sorting
 
 
 def _words8(t: np.ndarray) -> np.ndarray:
@@ -149,7 +149,7 @@ def adjacent_common(t: np.ndarray, sa: np.ndarray, depth: int, w: np.ndarray | N
     return np.minimum(out, depth)
 
 
-# ---- anchors -----------------------------------------------------------------------------------------------------------------------
+# -- anchors
 
 
 def _slide(x: np.ndarray, w: int, f: np.ufunc) -> np.ndarray:

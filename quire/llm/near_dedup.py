@@ -225,7 +225,7 @@ def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
     return by(sent.withColumn("bucket", spread), buckets, "bucket").applyInArrow(join, "a long, b long").distinct()
 
 
-# ---- signature trees ---------------------------------------------------------------------------------------------------------------
+# -- signature trees
 
 
 @dataclass
