@@ -14,7 +14,7 @@ shuffled twice, by document, to fetch what has to be compared and to cut out wha
    representative holds for all places of its context.
 
 Anchors that a bounded sample shows to be in many documents are not grouped by k-gram: their stretches travel one by one, so that no
-group is large. The sample decides only how work is split, never what is removed.
+group is large; the sample grows with the documents. It decides only how work is split, never what is removed.
 """
 
 from __future__ import annotations
@@ -32,8 +32,7 @@ from .cluster import buckets_for, by, keyed_docs, part_of, settle
 
 LENGTH = 50
 GRAM = 20
-HOT_SAMPLE = 4_000  # documents
-HOT_SHARE = 0.005
+HOT_SAMPLE, HOT_PART = 4_000, 256  # documents, at least, and one in so many
 LAST = np.iinfo(np.int64).max  # stands for a null id: larger than all
 
 
@@ -453,8 +452,12 @@ def _cut_out(d: DataFrame, spans: DataFrame, parts: int, texts_too: bool) -> Dat
     return by(d.withColumn("part", part_of(parts)), parts, "part").cogroup(by(spans, parts, "part")).applyInArrow(run, schema)
 
 
-def hot_anchors(d: DataFrame, length: int, gram: int, sample: int = HOT_SAMPLE, share: float = HOT_SHARE) -> np.ndarray:
-    """Hashes of anchors in at least `share` of a sample of documents; at most 1 / share times the anchors of a document, so small."""
+def hot_anchors(d: DataFrame, length: int, gram: int, sample: int = HOT_SAMPLE, part: int = HOT_PART) -> np.ndarray:
+    """Hashes of anchors in many documents, from a sample by key of `sample` documents or a part-th of all, if that is more.
+
+    Many is 20 of the sample, or a 2**-20 of its anchors, if that is more: so at most 2**20 are hot, and any other is expected in fewer
+    than 20 * part documents or a 2**-20 of all anchors.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -464,11 +467,12 @@ def hot_anchors(d: DataFrame, length: int, gram: int, sample: int = HOT_SAMPLE,
                 u, n = np.unique(g[one], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], ["g", "n"])
 
-    some = d.select("key").orderBy("key").limit(sample)
-    n = some.count()
-    least = max(20, int(share * n))
-    rows = d.join(F.broadcast(some.distinct()), "key", "left_semi").select("doc_id", "text").mapInArrow(run, "g long, n long")
-    return np.sort(np.array([r[0] for r in rows.groupBy("g").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("g").collect()], np.int64).view(np.uint64))
+    total = d.count()
+    share = max(sample, total // part) / max(total, 1)
+    some = d.where(F.shiftrightunsigned("key", 1) < int(share * (1 << 63))) if share < 1 else d
+    counts = settle(some.select("doc_id", "text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), "anchor-counts", free=False)
+    least = max(20, (counts.agg(F.sum("n")).first()[0] or 0) >> 20)
+    return np.sort(np.array([r[0] for r in counts.where(F.col("n") >= least).select("g").collect()], np.int64).view(np.uint64))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, texts_too: bool = False) -> DataFrame:

@@ -147,12 +147,25 @@ def test_short_texts_are_compared_by_all_their_anchors(spark):
     assert got == want and sum(n for _, _, n, _ in got) >= 40 * 51
 
 
-def test_repeats_of_long_lengths(spark):
+@pytest.mark.parametrize("length", [100, 137, 138, 200])
+def test_repeats_of_other_lengths(spark, length):
     rng = random.Random(11)
     noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
-    shared = [noise(n) for n in (199, 200, 260, 420)]
-    got, want = _removed(spark, [(i, noise(300) + shared[i % 4] + noise(300)) for i in range(16)], length=200)
-    assert got == want and sum(n for _, _, n, _ in got) >= 9 * 200
+    shared = [noise(n) for n in (length - 1, length, length + 60, 2 * length + 20)]
+    got, want = _removed(spark, [(i, noise(300) + shared[i % 4] + noise(300)) for i in range(16)], length=length)
+    assert got == want and sum(n for _, _, n, _ in got) >= 9 * length
+
+
+def test_hot_anchors_are_those_of_many_documents(spark):
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    often, seldom = noise(60), noise(60)
+    d = cluster.keyed_docs(table(spark, [(i, noise(60) + (often if i % 2 else seldom if i < 20 else "") + noise(60)) for i in range(120)]), "doc_id", "text")
+    tk, i = exact_dedup.tk, np.arange(41)
+    places = lambda t: set(tk.span_hash(tk.prefix_hash(np.frombuffer(t.encode(), np.uint8)), i, i + 20).tolist())
+    hot = set(exact_dedup.hot_anchors(d, 50, 20).tolist())
+    assert hot and hot <= places(often) and not hot & places(seldom)
+    assert len(exact_dedup.hot_anchors(d, 50, 20, sample=30, part=4)) <= len(hot)  # 15 of 30 are not many
 
 
 def test_repeats_in_nothing(spark):
