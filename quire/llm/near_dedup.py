@@ -28,7 +28,7 @@ from .graph import components
 
 SHINGLE = 5
 NUM, DEN = 80, 100  # linked when DEN * intersection >= NUM * union
-BLOCK, BLOCK_TOKENS = 1_000, 1 << 20  # sets of a block, at most, and tokens, unless a single set has more
+BLOCK, BLOCK_TOKENS = 1_000, 1 << 18  # sets of a block, at most, and tokens (times two at most), unless a single set has more
 SIGNATURE = 512
 FEW = 4  # classes of a batch that have a shingle; where there are more, not each of them travels
 LEAF = 32
