@@ -88,8 +88,8 @@ def class_weight(cls: Column) -> Column:
 
 
 def _attach(docs: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """docs left-joined null-safely to a table that has one row for each key: broadcast if it is small (its rows are counted, its bytes estimated), else salted, as one key may hold a third of docs."""
-    s = small.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in small.columns if c not in keys))
+    """docs left-joined null-safely to a table that has one row for each key: broadcast if it is small (it is written, its rows and bytes are counted), else salted, as one key may hold a third of docs."""
+    s = settle(small.select(*(F.col(k).alias(f"__{k}") for k in keys), *(c for c in small.columns if c not in keys)), "keys", free=False)
     same = [docs[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
     if s.count() <= BROADCAST_ROWS and input_bytes(s) <= BROADCAST_BYTES:
         joined = docs.join(F.broadcast(s), same, "left")
