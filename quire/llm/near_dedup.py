@@ -115,7 +115,10 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
                 u, n = np.unique(x[order[many]], return_counts=True)
                 rows.append((int(keys[u[0]]) % buckets, keys[u].tobytes(), n.astype("i4").tobytes(), None, None, None))
             begin = heads[size > FEW]
-            for at, known in ((order[~many], False), (order[np.concatenate((begin, begin + 1))], True)):
+            rest = np.ones(len(h), bool)
+            rest[order[many]] = False
+            # in order of the documents, as their numbers then compress
+            for at, known in ((np.flatnonzero(rest), False), (np.sort(order[np.concatenate((begin, begin + 1))]), True)):
                 q = ((h[at] >> U64(32)) % U64(buckets)).astype(np.int64)
                 o = np.argsort(q.astype(np.uint16) if buckets < 1 << 16 else q, kind="stable")
                 for b, m, n in tk.runs(q[o]):
