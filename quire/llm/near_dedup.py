@@ -3,7 +3,9 @@
 1. Documents of equal sets form a class; one of each goes on.
 2. Shingles are counted by hash over the corpus. A set can only be linked if `threshold` of its shingles are in other classes too; the
    few that remain are the candidates. (Hash collisions only let more remain.)
-3. Two linked sets share one of the lowest hashes of each, so candidates that share one of those are joined to clusters.
+3. In any order of all shingles, two linked sets share one of the first of each; candidates that share one of those are joined to
+   clusters. Shingles are ordered by how many candidates have them, rarest first, so that what many texts have joins only texts that
+   consist of it, and clusters do not grow together as the corpus grows.
 4. Clusters are split into blocks by set size, and pairs of blocks whose sizes allow a link are compared by dual traversal of
    signature trees: a node holds the OR of the token bitmaps below it and their range of sizes, and a pair of nodes is left out
    when the bits they have in common, or their sizes, cannot make up the overlap that a link needs.
@@ -167,13 +169,18 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
     return by(by(sent, buckets, "bucket").applyInArrow(count, "part int, keys binary, n binary"), parts, "part").applyInArrow(add, "key long, shared long")
 
 
-def _sets_of(d: DataFrame, wanted: DataFrame, k: int, parts: int) -> DataFrame:
-    """key, n, hashes (sorted, 8 bytes each) of the rows whose keys are wanted."""
+def _rank_bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((h >> U64(32)) % U64(buckets)).astype(np.int64)
+
+
+def _sets_of(d: DataFrame, wanted: DataFrame, k: int, parts: int, buckets: int) -> DataFrame:
+    """key, n, hashes (sorted, 8 bytes each) of the rows whose keys are wanted; and, with a null key, how many sets of a part have each shingle of a bucket (part, bucket, h, count), in order of the whole hashes."""
 
     def run(texts: pa.Table, want: pa.Table) -> pa.Table:
         w = set(want.column("key").to_pylist())
         keys = texts.column("key").to_pylist()
         out: dict[int, bytes] = {}
+        ask: list[tuple] = []
         keep = [i for i, x in enumerate(keys) if x in w]
         if keep:
             for p in tk.pieces(texts.take(pa.array(keep)).select(["doc_id", "text"])):
@@ -181,26 +188,56 @@ def _sets_of(d: DataFrame, wanted: DataFrame, k: int, parts: int) -> DataFrame:
                 cut = np.searchsorted(x, np.arange(len(p.start) + 1))
                 for i in range(len(p.start)):
                     out[keys[keep[p.row + i]]] = h[cut[i] : cut[i + 1]].tobytes()
-        return pa.table({"key": pa.array(list(out), pa.int64()), "n": pa.array([len(x) // 8 for x in out.values()], pa.int64()), "hashes": pa.array(list(out.values()), pa.binary())})
+            u, n = np.unique(np.frombuffer(b"".join(out.values()), "u8"), return_counts=True)
+            q = _rank_bucket(u, buckets)
+            o = np.argsort(q, kind="stable")
+            part = texts.column("part")[0].as_py()
+            ask = [(part, b, (u[o[i:j]] & U64(0xFFFFFFFF)).astype("u4").tobytes(), tk.squeeze(n[o[i:j]])) for b, i, j in tk.runs(q[o])]
+        none = [None] * len(ask)
+        part, bucket, h, count = ([None] * len(out) + list(c) for c in (zip(*ask) if ask else [()] * 4))
+        return pa.table({
+            "key": pa.array([*out, *none], pa.int64()), "n": pa.array([*(len(x) // 8 for x in out.values()), *none], pa.int64()), "hashes": pa.array([*out.values(), *none], pa.binary()),
+            "part": pa.array(part, pa.int32()), "bucket": pa.array(bucket, pa.int32()), "h": pa.array(h, pa.binary()), "count": pa.array(count, pa.binary()),
+        })
 
-    return by(d.withColumn("part", part_of(parts)), parts, "part").cogroup(by(wanted.withColumn("part", part_of(parts)), parts, "part")).applyInArrow(run, "key long, n long, hashes binary")
+    schema = "key long, n long, hashes binary, part int, bucket int, h binary, count binary"
+    return by(d.withColumn("part", part_of(parts)), parts, "part").cogroup(by(wanted.withColumn("part", part_of(parts)), parts, "part")).applyInArrow(run, schema)
 
 
-def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
-    """Edges a, b between candidates that share one of their lowest hashes, of which every linked pair shares one. Per task and hash only the smallest key travels."""
+def _ranks(asked: DataFrame, buckets: int) -> DataFrame:
+    """part, bucket, rank: for each shingle that a part asked for the bits of the number of sets that have it, a byte each. Shingles of a bucket that agree in 32 bits count as one, in all parts alike."""
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hs, ks = [], []
-            for key, blob in zip(batch.column("key").to_pylist(), batch.column("hashes").to_pylist()):
-                h = np.frombuffer(blob, "u8")
-                n = len(h)
-                m = n - -(-n * NUM // DEN) + 1
-                hs.append(h[:m])
-                ks.append(np.full(m, key))
-            if not hs:
-                continue
-            h, k = np.concatenate(hs), np.concatenate(ks)
+    def run(t: pa.Table) -> pa.Table:
+        hs = [np.frombuffer(x, "u4") for x in t.column("h").to_pylist()]
+        _, inv = np.unique(np.concatenate(hs), return_inverse=True)
+        n = np.bincount(inv, np.concatenate([tk.unsqueeze(x) for x in t.column("count").to_pylist()]))
+        rank = np.frexp(n)[1].astype("u1")[inv]
+        upto = np.cumsum([len(h) for h in hs])
+        return pa.table({"part": t.column("part"), "bucket": t.column("bucket"), "rank": pa.array([x.tobytes() for x in np.split(rank, upto[:-1])], pa.binary())})
+
+    return by(asked, buckets, "bucket").applyInArrow(run, "part int, bucket int, rank binary")
+
+
+def prefix(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first hashes of a set, by rank and hash: a set that is linked with it has one of them among its own first."""
+    m = len(h) - -(-len(h) * NUM // DEN) + 1
+    return h[np.lexsort((h, rank))[:m]]
+
+
+def _prefix_edges(sets: DataFrame, ranks: DataFrame, parts: int, buckets: int) -> DataFrame:
+    """Edges a, b between candidates that share one of the first hashes of each. Per part and hash only the smallest key travels. buckets: those of the ranks, too."""
+
+    def send(t: pa.Table, told: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        if t.num_rows:
+            sets = [np.frombuffer(x, "u8") for x in t.column("hashes").to_pylist()]
+            u = np.unique(np.concatenate(sets))
+            rank = np.empty(len(u), np.uint8)
+            order = np.argsort(told.column("bucket").combine_chunks().to_numpy(), kind="stable")
+            told_of = told.column("rank")
+            rank[np.argsort(_rank_bucket(u, buckets), kind="stable")] = np.frombuffer(b"".join(told_of[int(i)].as_py() for i in order), np.uint8)
+            first = [prefix(h, rank[np.searchsorted(u, h)]) for h in sets]
+            h, k = np.concatenate(first), np.repeat(t.column("key").combine_chunks().to_numpy(), [len(x) for x in first])
             o = np.lexsort((k, h))
             h, k = h[o], k[o]
             heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
@@ -208,9 +245,10 @@ def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
             e = np.unique(np.stack([low, k], axis=1)[low != k], axis=0)
             rows = [(-1, e[:, 0].tobytes(), e[:, 1].tobytes())]
             h, k = h[heads], k[heads]
-            q = ((h >> U64(32)) % U64(buckets)).astype(np.int64)
-            rows += [(int(b), h[q == b].tobytes(), k[q == b].tobytes()) for b in np.unique(q)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), pa.binary(), pa.binary()])], ["bucket", "a", "b"])
+            q = _rank_bucket(h, buckets)
+            o = np.argsort(q, kind="stable")
+            rows += [(b, h[o[i:j]].tobytes(), k[o[i:j]].tobytes()) for b, i, j in tk.runs(q[o])]
+        return pa.table({n: pa.array(c, x) for n, c, x in zip(("bucket", "a", "b"), zip(*rows) if rows else [()] * 3, [pa.int32(), pa.binary(), pa.binary()])})
 
     def join(t: pa.Table) -> pa.Table:
         a, b = (np.concatenate([np.frombuffer(x, "i8") for x in t.column(c).to_pylist()]) for c in ("a", "b"))
@@ -223,7 +261,8 @@ def _prefix_edges(sets: DataFrame, buckets: int) -> DataFrame:
         return pa.table({"a": pa.array(e[:, 0]), "b": pa.array(e[:, 1])})
 
     # edges found within tasks are spread again, so that they are not all in one group
-    sent = sets.select("key", "hashes").mapInArrow(send, "bucket int, a binary, b binary")
+    mine = sets.select("key", "hashes").withColumn("part", part_of(parts))
+    sent = by(mine, parts, "part").cogroup(by(ranks, parts, "part")).applyInArrow(send, "bucket int, a binary, b binary")
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("a"), F.lit(buckets))).otherwise(F.col("bucket")).cast("int")
     return by(sent.withColumn("bucket", spread), buckets, "bucket").applyInArrow(join, "a long, b long").distinct()
 
@@ -420,8 +459,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a class is judged by any of its rows that was counted
     judged = sets.where("n > 0").join(shared, "key").where(F.col("shared") * DEN >= F.col("n") * NUM).select("n", "s1", "s2").distinct()
     wanted = settle(classes.join(judged, ["n", "s1", "s2"], "left_semi").select("key", "members"), "candidates", free=False)
-    found = settle(_sets_of(d, wanted.select("key"), k, parts), "candidate-sets")
-    edges = settle(_prefix_edges(found, max(4, buckets // 4)), "prefix-edges", free=False)
+    few = max(4, buckets // 4)
+    fetched = settle(_sets_of(d, wanted.select("key"), k, parts, few), "candidate-sets")
+    found, asked = fetched.where("key IS NOT NULL").select("key", "n", "hashes"), fetched.where("key IS NULL").select("part", "bucket", "h", "count")
+    edges = settle(_prefix_edges(found, settle(_ranks(asked, few), "ranks", free=False), parts, few), "prefix-edges")
     clusters = components(found.select(F.col("key").alias("v")), edges).withColumnRenamed("v", "key").withColumnRenamed("label", "cluster")
     # blocks by size within clusters, without sorting a cluster in one task; of larger sets fewer make a block
     placed = found.select("key", "n").join(clusters, "key").join(wanted, "key")

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from quire.llm import cluster, decontam, exact_dedup, near_dedup
+from quire.llm import cluster, decontam, exact_dedup, graph, near_dedup
 
 from .helpers import ODD, against_sql, table
 
@@ -218,3 +218,20 @@ def test_near_duplicates_of_odd_rows(spark):
     assert sorted((x["doc_id"], x["n_shingles"], x["n_similar"]) for x in r if x["doc_id"] is not None) == [(1, 1, 1), (1, 1, 1), (2, 0, 0), (3, 0, 0), (4, 1, 0)]
     assert near_dedup.one_of_each(table(spark, ODD)).count() == 6
     assert near_dedup.near_duplicates(table(spark, [])).count() == 0
+
+
+def test_common_shingles_do_not_join_clusters(spark, monkeypatch):
+    """Pairs of near duplicates that all hold one passage: what is compared stays as small as the pairs."""
+    largest = []
+
+    def spy(nodes, edges):
+        out = graph.components(nodes, edges)
+        largest.append(out.groupBy("label").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(near_dedup, "components", spy)
+    passage = " ".join(f"common{i}" for i in range(30))
+    rows = [(2 * i + j, " ".join(f"w{i}x{n}" for n in range(100)) + f" {passage}" + " end" * j) for i in range(40) for j in range(2)]
+    got = near_dedup.near_duplicates(table(spark, rows)).collect()
+    assert all(r["n_similar"] == 1 and r["component_id"] == r["doc_id"] // 2 * 2 for r in got) and len(got) == 80
+    assert largest == [2, 2]
