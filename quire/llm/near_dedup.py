@@ -1,8 +1,8 @@
 """Exact Jaccard joins of shingle sets with signature trees.
 
 1. Documents of equal sets form a class; one of each goes on.
-2. Shingles are counted by hash over the corpus. A set can only be linked if `threshold` of its shingles are in other classes too; the
-   few that remain are the candidates. (Hash collisions only let more remain.)
+2. Shingles are counted by hash over the corpus. A set can only be linked if `threshold` of its shingles are in other documents too;
+   the few that remain are the candidates. (Hash collisions, and copies that are read in different batches, only let more remain.)
 3. In any order of all shingles, two linked sets share one of the first of each; candidates that share one of those are joined to
    clusters. Shingles are ordered by how many candidates have them, rarest first, so that what many texts have joins only texts that
    consist of it, and clusters do not grow together as the corpus grows.
@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ SHINGLE = 5
 NUM, DEN = 80, 100  # linked when DEN * intersection >= NUM * union
 BLOCK, BLOCK_TOKENS = 1_000, 1 << 18  # sets of a block, at most, and tokens (times two at most), unless a single set has more
 SIGNATURE = 512
-FEW = 4  # classes of a batch that have a shingle; where there are more, not each of them travels
+FEW = 4  # classes of a batch that have a shingle; where there are more, it travels once
 LEAF = 32
 FAN = 4
 U64 = tk.U64
@@ -87,12 +88,19 @@ def shingle_sets(d: DataFrame, k: int) -> DataFrame:
     return d.mapInArrow(run, "doc_id long, key long, n long, s1 long, s2 long")
 
 
+COUNTED = "bucket int, batch long, keys binary, doc binary, n binary, h binary"
+
+
 def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
-    """key, shared: how many shingles of each row are in other classes too (never too few). Shingles travel as 4 bytes each, packed by bucket."""
+    """key, shared: how many shingles of each row are in other documents too (never too few).
+
+    Shingles travel as 4 bytes each and the step from one document of the batch to the next, packed by bucket; the keys of a batch
+    travel once. So what a shingle takes does not depend on the number of buckets.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()  # below 2**24
         for batch in (s for b in batches for s in tk.slices(b)):
-            keys = np.asarray(batch.column("key")).astype(np.int64)
             got = []
             sig = []
             for p in tk.pieces(batch):
@@ -108,65 +116,54 @@ def shared_counts(d: DataFrame, k: int, buckets: int, parts: int) -> DataFrame:
             first = np.zeros(len(s), bool)
             first[one] = True
             h, x = h[first[x]], x[first[x]]
-            # what many classes of this batch have is shared: it is counted here, and two of them go on to tell others
+            # what many classes of this batch have is shared: it is counted here, and goes on once to tell others
             order, heads = tk.group_ids(h)
             size = np.diff(np.append(heads, len(order)))
             many = np.repeat(size > FEW, size)
-            rows = []
-            if many.any():
-                u, n = np.unique(x[order[many]], return_counts=True)
-                rows.append((int(keys[u[0]]) % buckets, keys[u].tobytes(), n.astype("i4").tobytes(), None, None, None))
-            begin = heads[size > FEW]
+            rows = [(number % buckets, number, np.asarray(batch.column("key")).astype("i8").tobytes(), None, tk.squeeze(np.bincount(x[order[many]], minlength=len(s))), None)]
             rest = np.ones(len(h), bool)
             rest[order[many]] = False
-            # in order of the documents, as their numbers then compress
-            for at, known in ((np.flatnonzero(rest), False), (np.sort(order[np.concatenate((begin, begin + 1))]), True)):
+            # in order of the documents, as the steps between them are then small
+            for at, known in ((np.flatnonzero(rest), False), (order[heads[size > FEW]], True)):
                 q = ((h[at] >> U64(32)) % U64(buckets)).astype(np.int64)
                 o = np.argsort(q.astype(np.uint16) if buckets < 1 << 16 else q, kind="stable")
                 for b, m, n in tk.runs(q[o]):
                     i = at[o[m:n]]
-                    u, inv = np.unique(x[i], return_inverse=True)
-                    rows.append((b, None if known else keys[u].tobytes(), None, s[u].tobytes(), inv.astype("u4" if len(u) > 65535 else "u2").tobytes(), (h[i] & U64(0xFFFFFFFF)).astype("u4").tobytes()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32()] + [pa.binary()] * 5)], ["bucket", "keys", "n", "sig", "doc", "h"])
+                    rows.append((b, number, None, None if known else tk.squeeze(np.diff(x[i], prepend=0)), None, (h[i] & U64(0xFFFFFFFF)).astype("u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int32(), pa.int64()] + [pa.binary()] * 4)], [c.split(" ")[0] for c in COUNTED.split(", ")])
+            number += 1 << 24
 
     def count(t: pa.Table) -> pa.Table:
-        ks, ss, hs, cs, us, ns = [], [], [], [], [], []
-        for r in t.to_pylist():
-            if r["h"] is None:
-                us.append(np.frombuffer(r["keys"], "i8"))
-                ns.append(np.frombuffer(r["n"], "i4"))
-                continue
-            h = np.frombuffer(r["h"], "u4")
-            doc = np.frombuffer(r["doc"], "u2" if len(r["doc"]) == 2 * len(h) else "u4")
-            ks.append(np.zeros(len(h), np.int64) if r["keys"] is None else np.frombuffer(r["keys"], "i8")[doc])
-            cs.append(np.full(len(h), r["keys"] is not None))
-            ss.append(np.frombuffer(r["sig"], "u8")[doc])
-            hs.append(h)
-        if hs:
-            key, sig, h, counted = (np.concatenate(v) for v in (ks, ss, hs, cs))
-            o = np.argsort(h, kind="stable")
-            heads = np.flatnonzero(np.concatenate(([True], h[o][1:] != h[o][:-1])))
-            lo, hi = np.minimum.reduceat(sig[o], heads), np.maximum.reduceat(sig[o], heads)
-            u, n = np.unique(key[o[np.repeat(lo < hi, np.diff(np.append(heads, len(o)))) & counted[o]]], return_counts=True)
-            us.append(u)
-            ns.append(n)
-        u, n = np.concatenate(us), np.concatenate(ns)
-        q = (u.view(U64) % U64(parts)).astype(np.int64)
-        o = np.argsort(q, kind="stable")
-        q, u, n = q[o], u[o], n[o]
-        x, s = np.unique(q, return_index=True)
-        e = np.append(s[1:], len(q))
-        return pa.table({"part": pa.array(x.astype(np.int32)), "keys": pa.array([u[i:j].tobytes() for i, j in zip(s, e)], pa.binary()), "n": pa.array([n[i:j].astype("i4").tobytes() for i, j in zip(s, e)], pa.binary())})
+        w = t.to_pylist()
+        out = [(r["batch"], r["keys"], None, r["n"]) for r in w if r["keys"] is not None]
+        w = [r for r in w if r["h"] is not None]
+        if w:
+            hs = [np.frombuffer(r["h"], "u4") for r in w]
+            order, heads = tk.group_ids(np.concatenate(hs))
+            size = np.diff(np.append(heads, len(order)))
+            shared = np.empty(len(order), bool)
+            shared[order] = np.repeat(size > 1, size)
+            at = 0
+            for r, h in zip(w, hs):
+                if r["doc"] is not None:
+                    u, n = np.unique(np.cumsum(tk.unsqueeze(r["doc"]))[shared[at : at + len(h)]], return_counts=True)
+                    if len(u):
+                        out.append((r["batch"], None, tk.squeeze(np.diff(u, prepend=0)), tk.squeeze(n)))
+                at += len(h)
+        return pa.table({n: pa.array(c, x) for n, c, x in zip(("batch", "keys", "doc", "n"), zip(*out) if out else [()] * 4, [pa.int64()] + [pa.binary()] * 3)})
 
     def add(t: pa.Table) -> pa.Table:
         w = t.to_pylist()
-        k, n = np.concatenate([np.frombuffer(r["keys"], "i8") for r in w]), np.concatenate([np.frombuffer(r["n"], "i4") for r in w])
-        u, inv = np.unique(k, return_inverse=True)
-        return pa.table({"key": pa.array(u), "shared": pa.array(np.bincount(inv, n).astype(np.int64))})
-
-    sent = d.mapInArrow(send, "bucket int, keys binary, n binary, sig binary, doc binary, h binary")
-    return by(by(sent, buckets, "bucket").applyInArrow(count, "part int, keys binary, n binary"), parts, "part").applyInArrow(add, "key long, shared long")
+        own = next(r for r in w if r["keys"] is not None)
+        total = tk.unsqueeze(own["n"])
+        for r in w:
+            if r["doc"] is not None:
+                total[np.cumsum(tk.unsqueeze(r["doc"]))] += tk.unsqueeze(r["n"])
+        some = total > 0
+        return pa.table({"key": pa.array(np.frombuffer(own["keys"], "i8")[some]), "shared": pa.array(total[some])})
+
+    sent = d.select("doc_id", "text", "key").mapInArrow(send, COUNTED)
+    return by(by(sent, buckets, "bucket").applyInArrow(count, "batch long, keys binary, doc binary, n binary"), parts, "batch").applyInArrow(add, "key long, shared long")
 
 
 def _rank_bucket(h: np.ndarray, buckets: int) -> np.ndarray:

@@ -1,8 +1,10 @@
 """Decontamination, exact repeats, near duplicates."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quire.llm import cluster, decontam, exact_dedup, graph, near_dedup
@@ -235,3 +237,27 @@ def test_common_shingles_do_not_join_clusters(spark, monkeypatch):
     got = near_dedup.near_duplicates(table(spark, rows)).collect()
     assert all(r["n_similar"] == 1 and r["component_id"] == r["doc_id"] // 2 * 2 for r in got) and len(got) == 80
     assert largest == [2, 2]
+
+
+def test_shingles_take_the_same_room_in_any_number_of_buckets(monkeypatch):
+    rng = random.Random(4)
+    docs = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(100)), i) for i in range(600)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("doc_id", "text", "key"), r)) for r in docs])
+    monkeypatch.setattr(near_dedup, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)), raising=False)
+
+    class Sent(Exception):
+        pass
+
+    class Rows:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, send, schema):
+            raise Sent(sum(b.nbytes for b in send(iter([batch]))))
+
+    def sent(buckets):
+        with pytest.raises(Sent) as e:
+            near_dedup.shared_counts(Rows(), 5, buckets, 4)
+        return e.value.args[0]
+
+    assert sent(64) < 1.5 * sent(4)
