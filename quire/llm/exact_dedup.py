@@ -290,7 +290,7 @@ DECIDED = "kind int, part int, keys binary, a binary, b binary, gram binary, ids
 _DECIDED = [x.split(" ") for x in DECIDED.split(", ")]
 
 
-def _decide(entries: DataFrame, parts: int, width: str) -> DataFrame:
+def _decide(entries: DataFrame, buckets: int, parts: int, width: str) -> DataFrame:
     """Per bucket: intervals found in smaller documents, there or before (kind 2), and the representatives of contexts that share an anchor (kind 3).
 
     more: how many other places have the context of each representative; also, at: the documents and positions of those.
@@ -333,7 +333,7 @@ def _decide(entries: DataFrame, parts: int, width: str) -> DataFrame:
                     rows.append(dict(kind=3, part=int(x), keys=key[j].astype("i8").tobytes(), a=a[j].astype("u4").tobytes(), b=b[j].astype("u4").tobytes(), gram=gram[j].astype("u4").tobytes(), ids=ids[j].astype("i8").tobytes(), more=count[m:n].astype("u4").tobytes(), also=key[rest].astype("i8").tobytes(), at=a[rest].astype("u4").tobytes()))
         return pa.Table.from_batches([_batch(rows, _DECIDED)])
 
-    return by(entries, parts, "bucket").applyInArrow(run, DECIDED)
+    return by(entries, buckets, "bucket").applyInArrow(run, DECIDED)
 
 
 CONTEXT = "bucket int, keys binary, ids binary, a binary, n binary, gram binary, bytes binary, more binary, also binary, at binary"
@@ -341,10 +341,10 @@ _CONTEXT = [x.split(" ") for x in CONTEXT.split(", ")]
 
 
 def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int, width: str) -> DataFrame:
-    """The bytes of the wanted contexts, by anchor bucket."""
+    """The bytes of the wanted contexts, by anchor bucket: a row for each part and bucket, as there are many of them."""
 
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
-        rows = []
+        rows: dict[int, dict[str, list[bytes]]] = {}
         w = wanted.to_pylist()
         if w and texts.num_rows:
             key, ids, a, b, gram, more, also, at = (np.concatenate([np.frombuffer(r[c], k) for r in w]) for c, k in (("keys", "i8"), ("ids", "i8"), ("a", "u4"), ("b", "u4"), ("gram", "u4"), ("more", "u4"), ("also", "i8"), ("at", "u4")))
@@ -366,13 +366,16 @@ def _fetch(d: DataFrame, decided: DataFrame, parts: int, buckets: int, width: st
                     pos = _ranges(s[i:j], k)
                     m = mine[i:j]
                     e = _ranges(rest[m], more[m])
-                    rows.append(dict(bucket=int(x), keys=key[m].tobytes(), ids=ids[m].tobytes(), a=a[m].tobytes(), n=k.astype(width).tobytes(), gram=gram[m].tobytes(), bytes=p.buf[pos].tobytes(), more=more[m].tobytes(), also=also[e].tobytes(), at=at[e].tobytes()))
-        return pa.Table.from_batches([_batch(rows, _CONTEXT)])
+                    sent = dict(keys=key[m], ids=ids[m], a=a[m], n=k.astype(width), gram=gram[m], bytes=p.buf[pos], more=more[m], also=also[e], at=at[e])
+                    to = rows.setdefault(int(x), {c: [] for c in sent})
+                    for c, v in sent.items():
+                        to[c].append(v.tobytes())
+        return pa.Table.from_batches([_batch([dict(bucket=x, **{c: b"".join(v) for c, v in r.items()}) for x, r in rows.items()], _CONTEXT)])
 
     return by(d.withColumn("part", part_of(parts)), parts, "part").cogroup(by(decided.where("kind = 3"), parts, "part")).applyInArrow(run, CONTEXT)
 
 
-def _compare(contexts: DataFrame, parts: int, length: int, width: str) -> DataFrame:
+def _compare(contexts: DataFrame, buckets: int, parts: int, length: int, width: str) -> DataFrame:
     """Intervals that suffix arrays of the contexts find in smaller documents."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -423,7 +426,7 @@ def _compare(contexts: DataFrame, parts: int, length: int, width: str) -> DataFr
             rows = [dict(part=q, keys=kk, a=aa, b=bb) for q, kk, aa, bb in _span_rows(x, y, z, parts)]
         return pa.Table.from_batches([_batch(rows, [f.split(" ") for f in SPANS.split(", ")])])
 
-    return by(contexts, parts, "bucket").applyInArrow(run, SPANS)
+    return by(contexts, buckets, "bucket").applyInArrow(run, SPANS)
 
 
 def _cut_out(d: DataFrame, spans: DataFrame, parts: int, texts_too: bool) -> DataFrame:
@@ -486,10 +489,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if length > 200 or not 8 <= gram <= length:
         raise ValueError("8 <= gram <= length <= 200")
     d = keyed_docs(docs, id_col, text_col)
-    parts, buckets = buckets_for(docs, 4 << 20), buckets_for(docs, 4 << 20)
+    # each part sends a row to each bucket, so rows grow with the square of the input: contexts, of which there are fewer than anchors, go to fewer buckets
+    parts, buckets, few = buckets_for(docs, 4 << 20), buckets_for(docs, 8 << 20), buckets_for(docs, 16 << 20)
     hot, width = hot_anchors(d, length, gram), _width(length, gram)
-    decided = settle(_decide(_emit(d, buckets, parts, length, gram, hot), parts, width), "anchors-decided")
-    more = settle(_compare(_fetch(d, decided, parts, buckets, width), parts, length, width), "anchors-compared")
+    decided = settle(_decide(_emit(d, buckets, parts, length, gram, hot), buckets, parts, width), "anchors-decided")
+    more = settle(_compare(_fetch(d, decided, parts, few, width), few, parts, length, width), "anchors-compared")
     spans = decided.where("kind = 2").select("part", "keys", "a", "b").unionByName(more)
     return _cut_out(d, spans, parts, texts_too).drop("key")
 

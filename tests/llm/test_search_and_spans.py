@@ -1,7 +1,9 @@
 """Decontamination, exact repeats, near duplicates."""
 
 import random
+from functools import partial
 from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import numpy as np
 import pyarrow as pa
@@ -261,3 +263,20 @@ def test_shingles_take_the_same_room_in_any_number_of_buckets(monkeypatch):
         return e.value.args[0]
 
     assert sent(64) < 1.5 * sent(4)
+
+
+def test_a_part_sends_a_row_to_a_bucket(spark, monkeypatch):
+    """However many pieces the texts of a part make, with the contexts of all of them."""
+    grouped = MagicMock()
+    monkeypatch.setattr(exact_dedup, "by", lambda *a: grouped)
+    monkeypatch.setattr(exact_dedup.tk, "pieces", partial(exact_dedup.tk.pieces, size=200))
+    exact_dedup._fetch(MagicMock(), MagicMock(), 4, 3, "u1")
+    run = grouped.cogroup.return_value.applyInArrow.call_args[0][0]
+    texts = [f"{i:03d}" * 30 for i in range(30)]
+    key, a, b = np.arange(30), np.full(30, 6, "u4"), np.full(30, 66, "u4")
+    wanted = dict(keys=key.astype("i8"), ids=key.astype("i8"), a=a, b=b, gram=key.astype("u4"), more=np.zeros(30, "u4"), also=np.zeros(0, "i8"), at=np.zeros(0, "u4"))
+    got = run(pa.table({"doc_id": key, "key": key, "text": texts}), pa.table({n: pa.array([v.tobytes()], pa.binary()) for n, v in wanted.items()})).to_pylist()
+    assert sorted(r["bucket"] for r in got) == [0, 1, 2]
+    for r in got:
+        assert r["bytes"].decode() == "".join(texts[k][6:66] for k in np.frombuffer(r["keys"], "i8"))
+    assert sorted(k for r in got for k in np.frombuffer(r["keys"], "i8")) == list(range(30))
