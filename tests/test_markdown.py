@@ -100,3 +100,20 @@ def test_guards(spark):
 def test_retag(spark):
     docs = ["```Java\nx\n```", "```code\nx := 1\n```", "```\n# file: a.yml\nx\n```", "```java {hl=1}\ny\n```", "``` \n\n```", "```mermaid\nx := 1\n```"]
     assert apply(spark, language.retag, docs) == ["```java\nx\n```", "```go\nx := 1\n```", "```yaml\n# file: a.yml\nx\n```", "```java {hl=1}\ny\n```", docs[4], docs[5]]
+
+
+def test_languages_as_in_sql_where_letters_have_accents(spark):
+    """Each body as DuckDB decides it; `chan` in French prose is where they parted."""
+    import duckdb
+
+    from quire.plans import registry
+
+    rng = random.Random(3)
+    parts = ["chan ère", "éé leèchan de", "échan aique", "chan x", "kind: Pod", "fn größe(", "dèf x", "defé", " $ ls", "puts 1", "Ähm: x", "ß: 1", "a: 1", "select a", "ſelect 1", "x\u000b:= 1", "é.a=b", "GET /x", "# file: a.yml", "ünew Promise", "imports fromé"]
+    bodies = [*parts, *("\n".join(rng.choices(parts, k=rng.randrange(2, 4))) for _ in range(150))]
+    got = apply(spark, lambda b: F.concat_ws(" ", *language.detect(F.lit("code"), b)), bodies)
+    c = duckdb.connect()
+    c.execute("CREATE TABLE fl (i INT, body VARCHAR, lang VARCHAR, info VARCHAR)")
+    c.executemany("INSERT INTO fl VALUES (?, ?, 'code', 'code')", list(enumerate(bodies)))
+    want = c.execute(f"WITH {registry._tagged('fl', 'body')} SELECT tag || ' ' || why FROM dt ORDER BY i").fetchall()
+    assert [(b, g) for b, g, (w,) in zip(bodies, got, want) if g != w] == [] and len(want) == len(bodies)
