@@ -117,3 +117,18 @@ def test_languages_as_in_sql_where_letters_have_accents(spark):
     c.executemany("INSERT INTO fl VALUES (?, ?, 'code', 'code')", list(enumerate(bodies)))
     want = c.execute(f"WITH {registry._tagged('fl', 'body')} SELECT tag || ' ' || why FROM dt ORDER BY i").fetchall()
     assert [(b, g) for b, g, (w,) in zip(bodies, got, want) if g != w] == [] and len(want) == len(bodies)
+
+
+def test_chain_as_in_sql_where_letters_have_accents(spark, tmp_path):
+    """`clean_chain` tags code by its content too."""
+    import duckdb
+
+    from quire.plans import registry
+
+    texts = ["Éé chan ère", "leèchan de le", "en échan aiquech", "chan x"]
+    rows = [(c, t, "assistant", texts[(c + t) % 4]) for c in range(40) for t in range(4)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(map(tuple, registry.queries()["clean_chain"](spark, str(tmp_path)).collect()))
+    c = duckdb.connect()
+    c.execute(f"CREATE TABLE conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert got == sorted(c.execute(registry.oracle_sql()["clean_chain"]).fetchall()) and len(got) == 40
