@@ -18,17 +18,21 @@ def unlines(a: Column) -> Column:
     return F.array_join(a, "\n")
 
 
+#: What \\s is with (?U). A pattern that ends in \\z is tried at every character of a text; trimming looks at the ends.
+WHITE = "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(s: Column) -> Column:
     """Trim all Unicode white space on both sides."""
-    return F.regexp_replace(s, r"(?U)\A\s+|\s+\z", "")
+    return F.trim(s, F.lit(WHITE))
 
 
 def rstrip(s: Column) -> Column:
-    return F.regexp_replace(s, r"(?U)\s+\z", "")
+    return F.rtrim(s, F.lit(WHITE))
 
 
 def lstrip(s: Column) -> Column:
-    return F.regexp_replace(s, r"(?U)\A\s+", "")
+    return F.ltrim(s, F.lit(WHITE))
 
 
 def blank(s: Column) -> Column:

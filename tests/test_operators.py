@@ -195,3 +195,14 @@ def test_stream(spark, tmp_path):
         q = ingest(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out", f"file://{tmp_path}/ck")
         q.awaitTermination(60)
     assert [r["md"] for r in spark.read.parquet(f"file://{tmp_path}/out").collect()] == ["a b", "a b"]
+
+
+def test_strip_takes_all_white_space_and_looks_at_the_ends_only(spark):
+    """The same as (?U)\\s for every character, without a pattern that is tried at each place of a line."""
+    from quire.functions import text
+
+    ends = {text.strip: r"(?U)\A\s+|\s+\z", text.lstrip: r"(?U)\A\s+", text.rstrip: r"(?U)\s+\z"}
+    d = spark.range(0x10000).where("id NOT BETWEEN 55296 AND 57343").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c")).select(F.explode(F.array(F.concat("c", F.lit(" x"), "c", F.lit("y\t"), "c"), F.col("c"), F.lit(""), F.lit(None))).alias("t"))
+    for f, pattern in ends.items():
+        assert d.where(~f(F.col("t")).eqNullSafe(F.regexp_replace("t", pattern, ""))).count() == 0
+        assert "regexp" not in d.select(f(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
