@@ -1,7 +1,7 @@
 """Splicing two extraction passes: the base pass keeps its tokens, the model pass lends layout.
 
-Matching is an equi-join on book, page and class with the geometry as a residual; of the candidates of a block the first of the best
-is found by one window over the block's own key, which is small. Books of any size spread over all tasks.
+Matching is an equi-join on book, page and class with the geometry as a residual; of the candidates of a block that reach a threshold
+the first of the best is found by one window over the block's own key, which is small. Books of any size spread over all tasks.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from ..functions.geometry import area, containment, iou
 from ..functions.text import blank, strip
 
 NOISE = ("footer", "header", "page_number")
+#: What of the model's columns is matched by or lent; others needn't travel.
+LENT = ("book", "ord", "abs_page", "type", "bbox", "text", "content", "code_body", "table_body", "sub_type", "keys")
 COUNTERS = ["table_swapped", "table_kept", "mermaid_attached", "images", "eq_swapped", "eq_kept", "chart_enriched", "charts", "noise_dropped", "code_verified", "code_flagged", "code_pipeline_only", "code_indent_flagged"]
 
 
@@ -42,11 +44,11 @@ def best_match(base: DataFrame, model: DataFrame, min_iou: float = 0.3, min_cont
     page = lambda c: F.coalesce(F.col(c), F.lit(0))
     both = slim.join(m, (F.col("book") == F.col("m_book")) & (page("abs_page") == page("m_page")) & (F.col("type") == F.col("m_type")))
     both = both.withColumn("m_iou", iou(F.col("bbox"), F.col("m.bbox"))).withColumn("m_containment", containment(F.col("bbox"), F.col("m.bbox")))
-    w = Window.partitionBy("book", "ord")
-    ranked = both.withColumn("ri", F.row_number().over(w.orderBy(F.desc("m_iou"), "m_ord"))).withColumn("rc", F.row_number().over(w.orderBy(F.desc("m_containment"), "m_ord")))
-    by_iou = (F.col("ri") == 1) & (F.col("m_iou") > min_iou)
-    by_box = (F.col("type") == "code") & (F.col("rc") == 1) & (F.col("m_containment") > min_containment)
-    pick = ranked.where(by_iou | by_box).withColumn("first", F.row_number().over(w.orderBy(F.when(by_iou, 0).otherwise(1)))).where("first = 1")
+    by_iou = F.col("m_iou") > min_iou
+    by_box = (F.col("type") == "code") & (F.col("m_containment") > min_containment)
+    both = both.withColumn("how", F.when(by_iou, 0).when(by_box, 1)).where("how IS NOT NULL")
+    w = Window.partitionBy("book", "ord").orderBy("how", F.desc(F.when(F.col("how") == 0, F.col("m_iou")).otherwise(F.col("m_containment"))), "m_ord")
+    pick = both.withColumn("first", F.row_number().over(w)).where("first = 1")
     pick = pick.select(F.col("book").alias("__b"), F.col("ord").alias("__o"), "m_ord", "m_iou", "m_containment", "m")
     return base.join(pick, (F.col("book") == F.col("__b")) & (F.col("ord") == F.col("__o")), "left").drop("__b", "__o")
 
@@ -66,7 +68,7 @@ def merge(base: DataFrame, model: DataFrame, repeated: DataFrame | None = None,
     t = F.col("type")
     captions = F.coalesce("image_caption", F.array().cast("array<string>"))
     b = b.withColumn("noise", F.col("noise") | F.coalesce((t == "image") & ~F.exists(captions, lambda c: F.coalesce(c, F.lit("")) != "") & (area(F.col("bbox")) < tiny), F.lit(False)))
-    j = best_match(b, model)
+    j = best_match(b, model.select(*(c for c in model.columns if c in LENT)))
     hit = F.col("m").isNotNull() & ~F.col("noise")
     code = (t == "code") & ~F.col("noise")
     same = normal_form(F.col("code_body")) == normal_form(F.col("m.code_body"))
@@ -85,7 +87,7 @@ def merge(base: DataFrame, model: DataFrame, repeated: DataFrame | None = None,
         "text": F.when(hit & (t == "equation"), F.col("m.text")).otherwise(F.col("text")),
         "content": F.when(hit & t.isin("chart", "image"), F.col("m.content")).otherwise(F.col("content")),
         "sub_type": F.when(hit & code & has_key("sub_type"), F.col("m.sub_type")).otherwise(F.col("sub_type")),
-        "code_body": F.when(path == "verified", F.col("m.code_body")).when(path == "flagged", F.col("moved.body")).when(path == "pipeline_only", strip_callouts(strip_listing_numbers(F.col("code_body")))).otherwise(F.col("code_body")),
+        "code_body": F.when(F.col("code_path") == "verified", F.col("m.code_body")).when(flagged, F.col("moved.body")).when(F.col("code_path") == "pipeline_only", strip_callouts(strip_listing_numbers(F.col("code_body")))).otherwise(F.col("code_body")),
     }
     return j.select(
         *(cols[c].alias(c) if c in cols else F.col(c) for c in base.columns), event.alias("event"), "code_path", F.coalesce(flagged, F.lit(False)).alias("code_flag"), "indent_flag", F.coalesce("moved.reindented", F.lit(False)).alias("reindented"), (~F.col("noise")).alias("kept"), F.lit("base").alias("src"), "m_ord",

@@ -206,3 +206,22 @@ def test_strip_takes_all_white_space_and_looks_at_the_ends_only(spark):
     for f, pattern in ends.items():
         assert d.where(~f(F.col("t")).eqNullSafe(F.regexp_replace("t", pattern, ""))).count() == 0
         assert "regexp" not in d.select(f(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_partners_are_found_by_one_window(spark):
+    rng = random.Random(5)
+    box = lambda: [float(x := rng.randrange(4)), float(y := rng.randrange(4)), float(x + rng.randrange(1, 6)), float(y + rng.randrange(1, 6))]
+    a, b = ([{"ord": i, "type": rng.choice(["code", "table"]), "bbox": box(), "code_body": "x"} for i in range(40)] for _ in range(2))
+    def size(p):
+        return (p[2] - p[0]) * (p[3] - p[1])
+    def both(p, q):
+        return max(0, min(p[2], q[2]) - max(p[0], q[0])) * max(0, min(p[3], q[3]) - max(p[1], q[1]))
+    want = {}
+    for x in a:
+        c = [(both(x["bbox"], y["bbox"]), size(x["bbox"]), size(y["bbox"]), y["ord"]) for y in b if y["type"] == x["type"]]
+        u, v = (max(((f(*t[:3]), -t[3]) for t in c), default=(0, 0)) for f in (lambda i, p, q: i / (p + q - i), lambda i, p, q: i / min(p, q)))
+        want[x["ord"]] = -u[1] if u[0] > 0.3 else -v[1] if x["type"] == "code" and v[0] > 0.8 else None
+    got = graft.best_match(blocks(spark, a), blocks(spark, b))
+    assert {r["ord"]: r["m_ord"] for r in got.collect()} == want and len({*want.values()}) > 5
+    plan = graft.merge(blocks(spark, a), blocks(spark, b))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
